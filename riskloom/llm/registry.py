@@ -1,6 +1,6 @@
 """Queries of this subpackage and the SQL they are held against."""
 
-from . import line_dedup
+from . import line_dedup, pieces
 
-QUERIES = {"op9_line_dedup": line_dedup.query}
+QUERIES = {"op9_line_dedup": line_dedup.query, "op10_pieces": pieces.query}
 ORACLES = {"op9_line_dedup": line_dedup.ORACLE}

@@ -1,6 +1,6 @@
 """Queries of this subpackage and the SQL they are held against."""
 
-from . import line_dedup, pieces
+from . import line_dedup, pieces, quality_rules
 
-QUERIES = {"op9_line_dedup": line_dedup.query, "op10_pieces": pieces.query}
+QUERIES = {"op2_quality_rules": quality_rules.query, "op9_line_dedup": line_dedup.query, "op10_pieces": pieces.query}
 ORACLES = {"op9_line_dedup": line_dedup.ORACLE}

@@ -4,12 +4,14 @@
    frequencies (a fixed number of counters, summed over all documents); rarer shingles come first in the global order.
 2. Two sets with Jaccard similarity of num/den or more share a shingle among the first ``n - ceil(n * num / den) + 1`` of each
    in any global order.  These prefix shingles are shuffled once; those of one set only are dropped.
-3. Sets that share a prefix shingle are first held against one pivot of that shingle.  The verified links give components;
-   then all remaining pairs of a shared prefix shingle whose sets are in different components are held against each
-   other, so that no link that could change a component is lost, and large groups of copies cost one comparison a copy.
-4. Pairs are verified in blocks: the globally ordered sets of a block form a prefix tree, which the other set traverses.
-   Sets with equal beginnings share their partial overlap, and a subtree is left as soon as the overlap so far and what
-   can remain are below what its sizes ask for.
+3. The sets of a prefix shingle join the star of its most central set, so any two sets that may be similar are in one star.
+   A star is cut into units of bounded size, each with the star's centre; a unit is joined with itself.
+4. The links found give components.  Where a large star still has several, the sets outside its largest component are held
+   against all sets of the star, in units again: no link that could change a component is lost, no pair of sets is ever a
+   row, and sets already connected are not compared.
+5. In a unit the globally ordered sets form a prefix tree, which other sets traverse.  Sets with equal beginnings share
+   their partial overlap, and a subtree is left as soon as the overlap so far and what can remain are below what its
+   sizes ask for.
 Sets are kept as 64-bit keys (8 bits of frequency class, 56 of hash); equal sets are one node.
 """
 
@@ -23,11 +25,10 @@ from pyspark.sql import functions as F
 from . import kernel as K
 from .components import components
 
-SKETCH_BITS = 22
+SKETCH_BITS = 24
 SKETCH_BLOCK = 1 << 14
-#: Sets in one prefix tree.
-TREE_SETS = 64
-STAR_ROUNDS = 2
+#: Sets in one prefix tree, about.
+TREE_SETS = 128
 LOW56 = np.uint64((1 << 56) - 1)
 
 
@@ -205,26 +206,88 @@ class PrefixTree:
         return out
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int, classes) -> DataFrame:
-    """(a, b): the pairs that are similar.  A group of at most about TREE_SETS sets b with one set a is a task's unit."""
-    size = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TREE_SETS).cast("int").alias("chunks"))
-    pairs = pairs.join(size, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int"))
-    members = pairs.join(texts.withColumnRenamed("digest", "b"), "b").select("a", "chunk", "b", "text")
-    probes = pairs.select("a", "chunk").distinct().join(texts.withColumnRenamed("digest", "a"), "a").select("a", "chunk", F.col("a").alias("b"), "text")
+class _Union(dict):
+    """Disjoint sets of labels."""
+
+    def find(self, x):
+        while (up := self.get(x, x)) != x:
+            x = up
+        return x
+
+    def join(self, x, y) -> bool:
+        x, y = self.find(x), self.find(y)
+        if x != y:
+            self[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _unit_sets(table, k: int, classes) -> dict:
+    """digest -> globally ordered set.  Rows that share an id bring other texts too: these are left out."""
+    ids, sets = table["b"].to_pylist(), {}
+    for lo, _, data, offsets in K.blocks(table["text"]):
+        for i, s in enumerate(_sets(data, offsets, k)):
+            if ids[lo + i] not in sets and _digest(s) == ids[lo + i]:
+                sets[ids[lo + i]] = _keys(s, classes.value)
+    return sets
+
+
+def _links(found: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+
+def _join_units(stars: DataFrame, texts: DataFrame, k: int, num: int, den: int, classes) -> DataFrame:
+    """(a, b): links that connect the similar sets of each unit (star, chunk)."""
 
     def search(key, table):
-        a = key[0].as_py()
-        ids = table["b"].to_pylist()
-        sets = {}
-        for lo, _, data, offsets in K.blocks(table["text"]):
-            for i, s in enumerate(_sets(data, offsets, k)):
-                if ids[lo + i] not in sets and _digest(s) == ids[lo + i]:  # rows that share an id bring other texts too
-                    sets[ids[lo + i]] = _keys(s, classes.value)
-        rest = [b for b in sets if b != a]
-        found = PrefixTree([sets[b] for b in rest]).similar(sets[a], num, den) if rest else []
-        return pa.table({"a": pa.array([a] * len(found), pa.int64()), "b": pa.array([rest[m] for m in found], pa.int64())})
+        sets, groups, found = _unit_sets(table, k, classes), _Union(), []
+        names = list(sets)
+        tree = PrefixTree(list(sets.values())) if len(names) > 1 else None
+        left = len(names)
+        centre = key[0].as_py()
+        for x in sorted(names, key=lambda n: n != centre) if tree else ():
+            for m in tree.similar(sets[x], num, den):
+                if groups.join(x, names[m]):
+                    found.append((x, names[m]))
+                    left -= 1
+            if left == 1:
+                break
+        return _links(found)
+
+    centres = stars.filter("chunks > 1").select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")).distinct()
+    units = stars.filter("chunks = 1 or a <> b").select("a", "b", F.pmod(F.xxhash64("b"), "chunks").cast("int").alias("chunk")).unionByName(centres)
+    return units.join(texts.withColumnRenamed("digest", "b"), "b").select("a", "chunk", "b", "text").groupBy("a", "chunk").applyInArrow(search, "a long, b long")
+
+
+def _join_rest(stars: DataFrame, parts: DataFrame, texts: DataFrame, k: int, num: int, den: int, classes) -> DataFrame:
+    """(a, b): links between sets of a large star that are in different components so far."""
+    large = stars.filter("chunks > 1").join(parts.withColumnRenamed("node", "b"), "b", "left").withColumn("component", F.coalesce("component", "b"))
+    sizes = large.groupBy("a", "component").agg(F.count(F.lit(1)).alias("n"))
+    star = sizes.groupBy("a").agg(F.max_by("component", F.struct("n", "component")).alias("main"), (F.sum("n") - F.max("n")).alias("rest")).filter("rest > 0")
+    star = star.withColumn("blocks", F.ceil(F.col("rest") / (2 * TREE_SETS)).cast("int"))
+    large = large.join(star, "a").withColumn("outside", F.col("component") != F.col("main"))
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    place = lambda n: F.pmod(F.xxhash64("b", F.lit(1)), n).cast("int")
+    trees = large.filter("outside").select("a", "b", "component", F.lit(True).alias("tree"), place("blocks").alias("block"), spread("chunks").alias("chunk"))
+    probes = large.select("a", "b", "component", F.lit(False).alias("tree"), spread("blocks").alias("block"), place("chunks").alias("chunk"))
 
-    return members.unionByName(probes).groupBy("a", "chunk").applyInArrow(search, "a long, b long")
+    def search(key, table):
+        found, groups = [], _Union()
+        tree = np.array(table["tree"].to_pylist(), bool)
+        label = dict(zip(table["b"].to_pylist(), table["component"].to_pylist(), strict=True))
+        sets = _unit_sets(table, k, classes)
+        held = [b for b in dict.fromkeys(np.array(table["b"].to_pylist(), dtype=object)[tree].tolist()) if b in sets]
+        if not held:
+            return _links(found)
+        index = PrefixTree([sets[b] for b in held])
+        for x in dict.fromkeys(np.array(table["b"].to_pylist(), dtype=object)[~tree].tolist()):
+            if x in sets and any(groups.find(label[x]) != groups.find(label[b]) for b in held):
+                for m in index.similar(sets[x], num, den):
+                    if groups.join(label[x], label[held[m]]):
+                        found.append((x, held[m]))
+        return _links(found)
+
+    units = trees.unionByName(probes).join(texts.withColumnRenamed("digest", "b"), "b")
+    return units.select("a", "block", "chunk", "b", "component", "tree", "text").groupBy("a", "block", "chunk").applyInArrow(search, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -247,27 +310,19 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     owners = sizes.join(nodes, "digest").groupBy("digest").agg(F.min("id").alias("id"))
     texts = K.stored(own.join(owners, "id").select("digest", "text"), "texts", folder)
 
-    fits = lambda x, y: (den * F.col(x) >= num * F.col(y)) & (den * F.col(y) >= num * F.col(x))
-    links = None
-    state = shared.withColumn("component", F.col("digest"))
-    for turn in range(STAR_ROUNDS + 1):
-        if links is not None:
-            grown = components(links, folder, f"cc{turn}")
-            grown = K.stored(grown, f"components{turn}", folder)
-            state = shared.join(grown.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-            mixed = state.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
-            state = state.join(mixed, "token")
-        if turn < STAR_ROUNDS:  # one pivot for each token; another one each turn
-            rank = F.xxhash64("digest", F.lit(turn)) if turn else F.col("digest")
-            pivots = state.groupBy("token").agg(F.min_by(F.struct("digest", "n", "component"), F.struct(rank, "digest")).alias("p"))
-            pairs = state.join(pivots, "token").filter((F.col("p.component") != F.col("component")) & fits("n", "p.n")).select(F.col("p.digest").alias("a"), F.col("digest").alias("b"))
-        else:
-            one, two = (state.select("token", *(F.col(c).alias(c + t) for c in ("digest", "n", "component"))) for t in "12")
-            pairs = one.join(two, "token").filter((F.col("component1") < F.col("component2")) & fits("n1", "n2")).select(F.col("digest1").alias("a"), F.col("digest2").alias("b"))
-        pairs = K.stored(pairs.distinct(), f"pairs{turn}", folder)
-        found = K.stored(_verify(pairs, texts, k, num, den, classes), f"links{turn}", folder)
-        links = found if links is None else links.unionByName(found)
+    # a set is the more central the more sets share its prefix shingles
+    weight = shared.groupBy("token").agg(F.count(F.lit(1)).alias("g"))
+    central = shared.join(weight, "token").groupBy("digest").agg(F.sum("g").alias("score"))
+    centre = shared.join(central, "digest").groupBy("token").agg(F.max_by("digest", F.struct("score", "digest")).alias("a"))
+    stars = shared.join(centre, "token").select("a", F.col("digest").alias("b")).distinct()
+    stars = K.stored(stars, "stars", folder)
+    size = stars.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TREE_SETS).cast("int").alias("chunks"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    stars = stars.join(size, "a")
+    links = K.stored(_join_units(stars, texts, k, num, den, classes), "links", folder)
     joined = K.stored(components(links, folder, "cc"), "components", folder)
+    rest = K.stored(_join_rest(stars, joined, texts, k, num, den, classes), "rest", folder)
+    if not rest.isEmpty():
+        joined = K.stored(components(links.unionByName(rest), folder, "ccr"), "components-all", folder)
     rows = sizes.join(joined.withColumnRenamed("node", "digest"), "digest", "left").select("id", "n", F.when(F.col("n") > 0, F.coalesce("component", "digest")).alias("component"))
     least = rows.filter("n > 0").groupBy("component").agg(F.min("id").alias("component_id"))
     return rows.join(least, "component", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))

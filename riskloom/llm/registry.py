@@ -1,6 +1,6 @@
 """Queries of this subpackage and the SQL they are held against."""
 
-from . import decontaminate, jaccard_join, line_dedup, pieces, quality_rules, substring_dedup
+from . import decontaminate, jaccard_join, line_dedup, pieces, quality_rules, substring_dedup, toxicity
 
-QUERIES = {"op3_decontaminate": decontaminate.query, "op7_jaccard_join": jaccard_join.query, "op4_substring_dedup": substring_dedup.query, "op2_quality_rules": quality_rules.query, "op9_line_dedup": line_dedup.query, "op10_pieces": pieces.query}
+QUERIES = {"op1_toxicity": toxicity.query, "op3_decontaminate": decontaminate.query, "op7_jaccard_join": jaccard_join.query, "op4_substring_dedup": substring_dedup.query, "op2_quality_rules": quality_rules.query, "op9_line_dedup": line_dedup.query, "op10_pieces": pieces.query}
 ORACLES = {"op4_substring_dedup": substring_dedup.ORACLE, "op9_line_dedup": line_dedup.ORACLE}

@@ -2,9 +2,11 @@
 
 1. One pass hashes each document's distinct word shingles.  It writes a digest of each set, and a sketch of shingle
    frequencies (a fixed number of counters, summed over all documents); rarer shingles come first in the global order.
-2. Two sets with Jaccard similarity of num/den or more share a shingle among the first ``n - ceil(n * num / den) + 1`` of each
-   in any global order.  These prefix shingles are shuffled once; those of one set only are dropped.
-3. The sets of a prefix shingle join the star of its most central set, so any two sets that may be similar are in one star.
+2. Two sets with Jaccard similarity of num/den or more share m shingles among the first ``n - ceil(n * num / den) + m`` of
+   each in any global order.  These prefix shingles are shuffled once; those of one set only are dropped.
+3. The sets of a prefix shingle join the star of its most central set.  A set with fewer than m shared shingles is out, and
+   each set leaves its weakest stars as long as they hold fewer than m / 2 of them together: any two sets that may be
+   similar still have a star in common, and sets that share a few words by chance have none.
    A star is cut into units of bounded size, each with the star's centre; a unit is joined with itself.
 4. The links found give components.  Where a large star still has several, the sets outside its largest component are held
    against all sets of the star, in units again: no link that could change a component is lost, no pair of sets is ever a
@@ -19,16 +21,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernel as K
 from .components import components
 
-SKETCH_BITS = 24
+SKETCH_BITS = 23
 SKETCH_BLOCK = 1 << 14
 #: Sets in one prefix tree, about.
 TREE_SETS = 128
+#: Prefix shingles that similar sets must share: one, and one more for each STEP shingles, up to MOST_SHARED.
+MOST_SHARED, STEP = 8, 24
 LOW56 = np.uint64((1 << 56) - 1)
 
 
@@ -113,7 +117,7 @@ def _prefixes(docs: DataFrame, k: int, num: int, den: int, classes) -> DataFrame
                     n = len(s)
                     if n and (d := _digest(s)) not in seen:
                         seen.add(d)
-                        p = n - -(-n * num // den) + 1
+                        p = n - -(-n * num // den) + 1 + min(MOST_SHARED - 1, n // STEP)
                         token.append(_keys(s, classes.value)[:p])
                         digest.append(d)
                         size.append(n)
@@ -306,18 +310,22 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     sizes = scanned.filter("kind = 0").select("id", "digest", "n")
     classes = spark.sparkContext.broadcast(_order(scanned.filter("kind = 1")))
     shared = K.stored(_shared(_prefixes(own, k, num, den, classes)), "shared", folder)
-    nodes = shared.select("digest").distinct()
-    owners = sizes.join(nodes, "digest").groupBy("digest").agg(F.min("id").alias("id"))
-    texts = K.stored(own.join(owners, "id").select("digest", "text"), "texts", folder)
-
     # a set is the more central the more sets share its prefix shingles
     weight = shared.groupBy("token").agg(F.count(F.lit(1)).alias("g"))
     central = shared.join(weight, "token").groupBy("digest").agg(F.sum("g").alias("score"))
     centre = shared.join(central, "digest").groupBy("token").agg(F.max_by("digest", F.struct("score", "digest")).alias("a"))
-    stars = shared.join(centre, "token").select("a", F.col("digest").alias("b")).distinct()
+    stars = shared.join(centre, "token").groupBy("a", F.col("digest").alias("b")).agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("c"))
+    # the least similar set has num/den of the shingles; a set's stars are at most as many as its prefix shingles
+    least = 1 + F.least(F.lit(MOST_SHARED - 1), F.floor(F.ceil(F.col("n") * num / den) / STEP))
+    by = Window.partitionBy("b")
+    stars = stars.withColumn("all", F.sum("c").over(by)).withColumn("upto", F.sum("c").over(by.orderBy("c", "a"))).withColumn("m", least)
+    stars = stars.filter((F.col("all") >= F.col("m")) & (2 * F.col("upto") > F.col("m") - 1)).select("a", "b")
     stars = K.stored(stars, "stars", folder)
     size = stars.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TREE_SETS).cast("int").alias("chunks"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     stars = stars.join(size, "a")
+    nodes = stars.select(F.col("b").alias("digest")).distinct()
+    owners = sizes.join(nodes, "digest").groupBy("digest").agg(F.min("id").alias("id"))
+    texts = K.stored(own.join(owners, "id").select("digest", "text"), "texts", folder)
     links = K.stored(_join_units(stars, texts, k, num, den, classes), "links", folder)
     joined = K.stored(components(links, folder, "cc"), "components", folder)
     rest = K.stored(_join_rest(stars, joined, texts, k, num, den, classes), "rest", folder)

@@ -1,12 +1,16 @@
-"""The corpus pipeline: each stage takes (spark, docs, sf_dir) and returns what it keeps of docs."""
+"""The corpus pipeline: each stage takes (spark, docs, sf_dir) and returns what it keeps of docs.
+
+Every stage but the last returns the columns of documents.  Columns that clash with a stage's own are replaced; rows with a
+null doc_id are judged by their text alone where a stage can, and are neither compared with others nor dropped for it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm import decontaminate, jaccard_join, line_dedup as lines, pieces, quality_rules
 from riskloom.llm.kernel import shared_folder
-from riskloom.llm.line_dedup import drop_common_lines
 
 #: SQL cannot express the stages that learn or search (rule accuracies, similarity join, templates, subword merges).
 ORACLE_SQL = None
@@ -19,11 +23,42 @@ def _documents(df: DataFrame) -> DataFrame:
     return df.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules' posterior keeps."""
+    return quality_rules.rate(docs.select(*COLUMNS), list(COLUMNS)).filter("kept").select(*COLUMNS)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _documents(drop_common_lines(docs, min_docs=10))
+    """Texts without the lines that ten or more documents have; every document stays."""
+    return _documents(lines.drop_common_lines(docs.select(*COLUMNS), min_docs=10))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five-word shingles, Jaccard similarity 0.8): the least id."""
+    groups = jaccard_join.jaccard_components(docs, k=5, num=4, den=5)
+    others = groups.filter("component_id <> id").select(F.col("id").alias("doc_id"))
+    return docs.join(others, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    hits = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(hits.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as subword ids (32-bit little-endian), with the decoded text in place of the text."""
+    out = pieces.encode_documents(docs, pieces.default_model())
+    return out.select("doc_id", F.col("decoded").alias("text"), "lang", "source", "n_chars", "n_tokens", "ids", "ids_sha256")
 
 
-STAGES = [("line_dedup", line_dedup)]
+STAGES = [
+    ("quality_rules", quality),
+    ("line_dedup", line_dedup),
+    ("jaccard_join", near_duplicates),
+    ("decontamination", decontamination),
+    ("pieces", encode),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

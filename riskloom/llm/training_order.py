@@ -14,7 +14,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
@@ -57,24 +57,22 @@ def feistel_inverse(slot: np.ndarray, total: int, key: int) -> np.ndarray:
     return value.astype(np.int64)
 
 
-def _numbered(docs: DataFrame, length: int) -> tuple[DataFrame, int]:
-    """(id, first): number of each document's first sequence in the order of ids, and the number of all sequences."""
+def _ranged(docs: DataFrame, length: int) -> tuple[DataFrame, dict[int, int], int]:
+    """The documents in ranges of ids, sorted within; the number of each range's first sequence; the number of all.
+
+    Ranges come from quantiles of the ids (bounded by the number of partitions) and sums by range, so that the texts are
+    shuffled once and no table of numbers is joined to them, whatever their number.
+    """
     spark = docs.sparkSession
-    sizes = docs.select("id", F.ceil((F.octet_length("text") + 1) / length).cast("long").alias("n"))
-    # ranges of ids, then sums by range (one row a partition) and running sums within: no window over all rows
-    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = K.stored(sizes.repartitionByRange(parts, "id").withColumn("part", F.spark_partition_id()), "sizes")
-    sums = sorted((r.part, r.n) for r in ranged.groupBy("part").agg(F.sum("n").alias("n")).collect())
-    if (twice := ranged.groupBy("id").count().filter("count > 1").first()) is not None:
-        raise ValueError(f"several rows have the id {twice.id}")
-    base, total = {}, 0
-    for part, n in sums:
-        base[part], total = total, total + n
-    if not base:
-        return ranged.select("id", F.col("n").alias("first")), 0
-    offsets = F.element_at(F.create_map(*(F.lit(x) for pair in base.items() for x in pair)), F.col("part"))
-    before = F.sum("n").over(Window.partitionBy("part").orderBy("id").rowsBetween(Window.unboundedPreceding, -1))
-    return ranged.select("id", (offsets + F.coalesce(before, F.lit(0))).cast("long").alias("first")), total
+    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bounds = sorted({int(x) for x in docs.approxQuantile("id", [i / parts for i in range(1, parts)], 0.1 / parts)})
+    held = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("id"))) if bounds else F.lit(0)
+    docs = docs.withColumn("range", held)
+    sums = docs.groupBy("range").agg(F.sum(F.ceil((F.octet_length("text") + 1) / length)).cast("long").alias("n")).collect()
+    first, total = {}, 0
+    for r in sorted(sums):
+        first[r.range], total = total, total + r.n
+    return docs.repartitionById(parts, "range").sortWithinPartitions("range", "id"), first, total
 
 
 def materialise(docs: DataFrame, length: int = LENGTH, shard_sequences: int = SHARD_SEQUENCES, key: int = 20240101, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -87,21 +85,30 @@ def materialise(docs: DataFrame, length: int = LENGTH, shard_sequences: int = SH
     """
     spark = docs.sparkSession
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).filter("id is not null and text <> ''")
-    numbered, total = _numbered(own, length)
+    ranged, base, total = _ranged(own, length)
     shards = max(1, -(-total // shard_sequences))
 
     def cut(batches):
+        done, last = dict(base), None
         for batch in batches:
-            ids, firsts = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            ids, ranges = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            if len(ids) and ((ids[1:] == ids[:-1]).any() or ids[0] == last):
+                raise ValueError("several rows have the same id")
+            last = ids[-1] if len(ids) else last
             for lo, hi, data, offsets in K.blocks(batch.column(1)):
                 size = np.diff(offsets)
                 n = -(-(size + 1) // length)
                 begin = np.cumsum(n) - n
+                firsts = np.zeros(hi - lo, np.int64)
+                for r in np.unique(ranges[lo:hi]):
+                    own = ranges[lo:hi] == r
+                    firsts[own] = done[r] + np.cumsum(n[own]) - n[own]
+                    done[r] += int(n[own].sum())
                 out = np.full(int(n.sum()) * length, PAD, np.uint8)
                 to, _ = K.span_index(begin * length, size)
                 out[to] = data
                 out[begin * length + size] = END
-                index, place = K.span_index(firsts[lo:hi], n)
+                index, place = K.span_index(firsts, n)
                 slot = feistel(index, total, key)
                 stops = np.arange(len(slot) + 1, dtype=np.int64) * length
                 tokens = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(slot), [None, pa.py_buffer(stops), pa.py_buffer(out)]).cast(pa.binary())
@@ -127,11 +134,11 @@ def materialise(docs: DataFrame, length: int = LENGTH, shard_sequences: int = SH
             yield done()
 
     schema = "shard int, first_slot long, n_sequences long, length int, total long, doc_ids array<long>, places array<long>, payload binary"
-    placed = own.join(numbered, "id").select("id", "text", "first").mapInArrow(cut, "shard int, slot long, id long, place long, tokens binary")
+    placed = ranged.select("id", "text", "range").mapInArrow(cut, "shard int, slot long, id long, place long, tokens binary")
     # slots are spread evenly, so equal ranges of shards are equal ranges of rows: no sampling pass is needed
     parts = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // 8)))
-    ranged = placed.repartitionById(parts, (F.col("shard").cast("long") * parts / shards).cast("int"))
-    return ranged.sortWithinPartitions("slot").mapInArrow(pack, schema)
+    packed = placed.repartitionById(parts, (F.col("shard").cast("long") * parts / shards).cast("int"))
+    return packed.sortWithinPartitions("slot").mapInArrow(pack, schema)
 
 
 def write_shards(shards: DataFrame, folder: str) -> DataFrame:

@@ -72,7 +72,12 @@ PROFILES = {
     "u5": (["Atlantis"], {}),
     "u6": (["NATION_2"], {"sourcing": ["zeppelin moorings"]}),
 }
-TAGS = {"u1": {"18": "archive", "34": "monitor", "9": None}, "u2": {"35": "requires_action", "18": "archive"}, "u3": {"18": "monitor"}}
+TAGS = {
+    "u1": {str(i): ("archive", "monitor", None)[i % 3] for i in range(1, 1000, 7)},
+    "u2": {str(i): ("requires_action", "archive")[i % 2] for i in range(3, 1000, 11)},
+    "u3": {str(i): "monitor" for i in range(5, 1000, 13)},
+    "u4": {str(i): ("archive", "requires_action", "monitor", None)[i % 4] for i in range(2, 1000, 5)},
+}
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:

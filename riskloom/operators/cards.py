@@ -41,13 +41,19 @@ def ranked_articles(df: DataFrame, keys: list[str] = CARD, cap: int = CAP) -> Da
 def build(df: DataFrame, keys: list[str] = CARD, cap: int = CAP) -> DataFrame:
     """One card per key: metadata of the first raw article, greatest confidence of all, and the ranked articles."""
     meta_names = ["country", "latitude", "longitude", "cameo_code", "cameo_label", "actor", "risk_category", "goldstein", "event_date", "date_added", "age_days"]
-    meta = F.min_by(F.struct(*meta_names), F.struct(-F.coalesce("confidence", F.lit(-1)), F.coalesce(F.abs("mention_doc_tone"), F.lit(float("inf"))), "url"))
-    base = df.groupBy(*keys).agg(meta.alias("m"), F.max(F.coalesce("confidence", F.lit(-1))).alias("max_confidence"))
+    # every step partitions by the keys, so the rows are shuffled once
+    w = Window.partitionBy(*keys)
+    first = F.struct(-F.coalesce("confidence", F.lit(-1)), F.coalesce(F.abs("mention_doc_tone"), F.lit(float("inf"))), "url")
+    df = df.withColumn("_meta", F.min_by(F.struct(*meta_names), first).over(w)).withColumn("_confidence", F.max(F.coalesce("confidence", F.lit(-1))).over(w))
     item = F.struct("place", "headline", "url", "confidence", "in_raw_text", "mention_doc_tone", "mention_time")
-    shown = ranked_articles(prefer_raw_text(df, keys), keys, cap).groupBy(*keys).agg(
-        F.array_sort(F.collect_list(item)).alias("articles"), F.max("filtered").alias("inrawtext_filtered"), F.min("mention_time").alias("oldest_article_time"), F.count(F.lit(1)).alias("n_articles")
+    out = ranked_articles(prefer_raw_text(df, keys), keys, cap).groupBy(*keys).agg(
+        F.array_sort(F.collect_list(item)).alias("articles"),
+        F.max("filtered").alias("inrawtext_filtered"),
+        F.min("mention_time").alias("oldest_article_time"),
+        F.count(F.lit(1)).alias("n_articles"),
+        F.first("_meta").alias("m"),
+        F.max("_confidence").alias("max_confidence"),
     )
-    out = base.join(shown, keys)
     return out.select(*keys, F.col("articles")[0]["headline"].alias("card_title"), F.col("articles")[0]["url"].alias("top_article_url"), *(F.col(f"m.{c}").alias(c) for c in meta_names), "max_confidence", "inrawtext_filtered", "oldest_article_time", "n_articles", "articles")
 
 

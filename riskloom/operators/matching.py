@@ -46,19 +46,23 @@ def keyword_predicate(keywords: list[str]) -> Column:
     return F.coalesce(_any(tests), F.lit(False))
 
 
-def match_by_filter(catalogue: DataFrame, profiles: DataFrame, territories: DataFrame) -> DataFrame:
-    """(user_id, doc_id, global_event_id), one filter per user.  Profiles are few; beyond that use match_relational."""
+def matched_users(catalogue: DataFrame, profiles: DataFrame, territories: DataFrame) -> DataFrame:
+    """The catalogue's matched rows with `users`, the sorted ids of the users they match: one pass for all users.
+
+    Each user is a branch of one expression, so profiles must be few; beyond that use match_relational.
+    """
     codes = {r.user_id: r for r in user_codes(profiles, territories).collect()}
     words: dict[str, list[str]] = {}
     for r in user_keywords(profiles).collect():
         words.setdefault(r.user_id, []).append(r.keyword)
-    parts = []
-    for user, r in sorted(codes.items()):
-        hit = geo_predicate(list(r.cameo), list(r.fips)) & keyword_predicate(sorted(words.get(user, [])))
-        parts.append(catalogue.filter(hit).select(F.lit(user).alias("user_id"), "doc_id", "global_event_id"))
-    if not parts:
-        return catalogue.select(F.lit("").alias("user_id"), "doc_id", "global_event_id").limit(0)
-    return reduce(DataFrame.unionByName, parts).distinct()
+    tests = [F.when(geo_predicate(list(r.cameo), list(r.fips)) & keyword_predicate(sorted(words.get(user, []))), user) for user, r in sorted(codes.items())]
+    users = F.array_compact(F.array(*tests)) if tests else F.array().cast("array<string>")
+    return catalogue.withColumn("users", users).filter(F.size("users") > 0)
+
+
+def match_by_filter(catalogue: DataFrame, profiles: DataFrame, territories: DataFrame) -> DataFrame:
+    """(user_id, doc_id, global_event_id), by one filter expression per user."""
+    return matched_users(catalogue, profiles, territories).select(F.explode("users").alias("user_id"), "doc_id", "global_event_id")
 
 
 def match_relational(catalogue: DataFrame, profiles: DataFrame, territories: DataFrame) -> DataFrame:

@@ -31,9 +31,12 @@ def recompute(events: DataFrame, mentions: DataFrame, labels: DataFrame, profile
     if only_user is not None:
         profiles = profiles.filter(F.col("user_id") == only_user)
     every = catalogue.build(events, mentions, labels, since)
-    match = matching.match_relational if relational else matching.match_by_filter
-    links = match(every, profiles, territories)
-    return Gold(gold.matched_articles(every, links), links, "OK")
+    if relational:
+        links = matching.match_relational(every, profiles, territories)
+        return Gold(gold.matched_articles(every, links), links, "OK")
+    # one pass gives both: matched rows are the articles, their users the links
+    matched = matching.matched_users(every, profiles, territories)
+    return Gold(matched.drop("users"), matched.select(F.explode("users").alias("user_id"), "doc_id", "global_event_id"), "OK")
 
 
 def publish(old: Gold, new: Gold, users: DataFrame, full: bool, protected: DataFrame | None) -> Gold:

@@ -11,7 +11,7 @@ from . import fixtures as X
 from .functions import scalars as S
 from .functions import text as T
 from .operators import cards as C
-from .operators import catalogue, gold, matching, profiles, provenance, relevance, silver, validate
+from .operators import catalogue, gold, legacy, matching, monitoring, profiles, provenance, relevance, silver, validate
 from .oracles import sql
 from .plans import pipeline as P
 from .sources import feeds, sinks
@@ -353,10 +353,10 @@ def _(s, d):
     return World(s, d).cards.select("user_id", "global_event_id", "tag")
 
 
-@query("j09_tagged_articles", "select doc_id, global_event_id from cat where global_event_id in (select global_event_id from tags where user_id = 'u1' and tag = 'monitor')", "cat", "tags")
+@query("j09_tagged_articles", "select doc_id, global_event_id from cat where global_event_id in (select global_event_id from tags where user_id = 'u4' and tag = 'monitor')", "cat", "tags")
 def _(s, d):
     w = World(s, d)
-    return hexed(C.tagged_articles(w.catalogue, w.tags, "u1", "monitor")).select("doc_id", "global_event_id")
+    return hexed(C.tagged_articles(w.catalogue, w.tags, "u4", "monitor")).select("doc_id", "global_event_id")
 
 
 @query("j10_match_by_filter", "select user_id, doc_id, global_event_id from links", "links")
@@ -726,9 +726,25 @@ def _(s, d):
     return World(s, d).bronze_events.select("GLOBALEVENTID", "DATEADDED", S.risk_score(c("GoldsteinScale"), c("NumArticles"), c("AvgTone")).alias("score"))
 
 
-@query("c21_legacy_shape", "select GLOBALEVENTID, case when length(ActionGeo_CountryCode) >= 2 then substr(ActionGeo_CountryCode, 1, 2) else '' end as fips from be", "be")
+@query("c21_legacy_events", """select GLOBALEVENTID as event_id, Day as date, EventCode as event_code, Actor1Name as actor1, ActionGeo_CountryCode as country_code, '' as fips_country, coalesce(try_cast(ActionGeo_Lat as double), 0) as lat,
+ cast(GoldsteinScale as double) as goldstein, cast(NumArticles as int) as num_articles, round(least((10 - cast(GoldsteinScale as double)) / 2 + least(log10(greatest(cast(NumArticles as double), 1)), 2) / 2, 10), 2) as risk_score, SOURCEURL as source_url from be""", "be")
 def _(s, d):
-    return World(s, d).bronze_events.select("GLOBALEVENTID", S.region_prefix(c("ActionGeo_CountryCode")).alias("fips"))
+    return legacy.events(World(s, d).bronze_events).select("event_id", "date", "event_code", "actor1", "country_code", "fips_country", "lat", "goldstein", "num_articles", "risk_score", "source_url")
+
+
+@query("c21_legacy_mentions", "select GLOBALEVENTID as event_id, MentionTimeDate as mention_time, MentionIdentifier as mention_url, coalesce(try_cast(Confidence as double), 0) as confidence, cast(MentionDocTone as double) as doc_tone, false as enriched from bm", "bm")
+def _(s, d):
+    return legacy.mentions(World(s, d).bronze_mentions).select("event_id", "mention_time", "mention_url", "confidence", "doc_tone", "enriched")
+
+
+@query("a17_slice_timing", """select kind, count(*) as slices, sum(rows)::bigint as rows, max(epoch(stored) - epoch(first_seen))::bigint as slowest_s from (select kind, count(*) as rows, strptime(slice, '%Y%m%d%H%M%S') + interval 90 seconds as first_seen,
+ strptime(slice, '%Y%m%d%H%M%S') + interval 90 seconds + to_seconds(count(*)) as stored from (select 'events' as kind, DATEADDED as slice from be union all select 'mentions', MentionTimeDate from bm) group by kind, slice) group by kind""", "be", "bm")
+def _(s, d):
+    w = World(s, d)
+    seen = w.bronze_events.select(F.lit("events").alias("kind"), c("DATEADDED").alias("slice")).unionByName(w.bronze_mentions.select(F.lit("mentions").alias("kind"), c("MentionTimeDate").alias("slice")))
+    seen = seen.groupBy("kind", "slice").agg(F.count(F.lit(1)).alias("rows")).withColumn("first_seen", S.stamp(c("slice")).cast("timestamp") + F.expr("interval 90 seconds"))
+    seen = seen.withColumn("stored", F.timestamp_seconds(F.unix_timestamp("first_seen") + c("rows")))
+    return monitoring.load_report(monitoring.slice_timing(seen))
 
 
 @query("c24_slice_floor", "select event_id, strftime(time_bucket(interval 15 minutes, ts), '%Y%m%d%H%M%S') as slice from events")
@@ -812,9 +828,9 @@ def _(s, d):
     return hexed(gold.without_orphans(w.catalogue, w.gold.links.filter("user_id in ('u1', 'u2')"), gold.protected_events(w.tags))).select("doc_id", "global_event_id")
 
 
-@query("k13_set_tag", "select user_id, global_event_id, case when user_id = 'u1' and global_event_id in ('18', '9') then null else tag end as tag from tags", "tags")
+@query("k13_set_tag", "select user_id, global_event_id, case when user_id = 'u1' and global_event_id in ('8', '15') then null else tag end as tag from tags", "tags")
 def _(s, d):
-    return gold.set_tag(World(s, d).tags, "u1", ["18", "9"], None).select("user_id", F.explode("tags").alias("global_event_id", "tag"))
+    return gold.set_tag(World(s, d).tags, "u1", ["8", "15"], None).select("user_id", F.explode("tags").alias("global_event_id", "tag"))
 
 
 @query("k13_save_profile", "select user_id, case when user_id = 'u2' then 'Second' else upper(user_id) end as display_name from users", "users")
@@ -863,16 +879,17 @@ def _(s, d):
     return card_columns(P.list_events(w.gold, w.tags, "u2", X.AS_OF, briefing_days=25, min_age_days=5))
 
 
-@query("x_one_event", f"select {CARD_SQL} from cards where user_id = 'u4' and global_event_id = '18'", "cards")
+@query("x_one_event", f"select {CARD_SQL} from cards where user_id = 'u4' and global_event_id = (select min(global_event_id) from cards where user_id = 'u2')", "cards")
 def _(s, d):
     w = World(s, d)
-    return card_columns(P.one_event(w.gold, w.tags, "u4", "18", X.AS_OF))
+    event = w.gold.links.filter("user_id = 'u2'").agg(F.min("global_event_id")).first()[0]
+    return card_columns(P.one_event(w.gold, w.tags, "u4", event, X.AS_OF))
 
 
-@query("x_tagged_events", "select 'u1' as user_id, global_event_id, count(distinct lower(trim(regexp_replace(headline, '\\s+', ' ', 'g')))) as n_articles from (select *, max(in_raw_text) over (partition by global_event_id) as n_raw from cat where global_event_id in (select global_event_id from tags where user_id = 'u1' and tag = 'monitor')) where n_raw = 0 or in_raw_text = 1 group by 2", "cat", "tags")
+@query("x_tagged_events", "select 'u4' as user_id, global_event_id, count(distinct lower(trim(regexp_replace(headline, '\\s+', ' ', 'g')))) as n_articles from (select *, max(in_raw_text) over (partition by global_event_id) as n_raw from cat where global_event_id in (select global_event_id from tags where user_id = 'u4' and tag = 'monitor')) where n_raw = 0 or in_raw_text = 1 group by 2", "cat", "tags")
 def _(s, d):
     w = World(s, d)
-    return P.tagged_events(P.Gold(w.catalogue, w.gold.links, "OK"), w.tags, "u1", "monitor", X.AS_OF).select("user_id", "global_event_id", "n_articles")
+    return P.tagged_events(P.Gold(w.catalogue, w.gold.links, "OK"), w.tags, "u4", "monitor", X.AS_OF).select("user_id", "global_event_id", "n_articles")
 
 
 @query("x03_page_titles", f"select url, {TITLE} as title, {TITLE} <> '' as ok from (select url, min(html) as html from pages group by url)")

@@ -331,6 +331,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     rest = K.stored(_join_rest(stars, joined, texts, k, num, den, classes), "rest", folder)
     if not rest.isEmpty():
         joined = K.stored(components(links.unionByName(rest), folder, "ccr"), "components-all", folder)
+    for done in ("shared", "stars", "texts", "links", "rest"):
+        K.remove(spark, f"{folder}/{done}")
     rows = sizes.join(joined.withColumnRenamed("node", "digest"), "digest", "left").select("id", "n", F.when(F.col("n") > 0, F.coalesce("component", "digest")).alias("component"))
     least = rows.filter("n > 0").groupBy("component").agg(F.min("id").alias("component_id"))
     return rows.join(least, "component", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))

@@ -35,8 +35,8 @@ def text_schema(names) -> T.StructType:
 
 
 EVENT_FEED_SCHEMA, MENTION_FEED_SCHEMA = text_schema(EVENT_FEED), text_schema(MENTION_FEED)
-PROFILE_SCHEMA = T.StructType.fromDDL("user_id string, display_name string, territories array<string>, keywords map<string,array<string>>, briefing_days int, older_news_days int, status string")
-TAG_SCHEMA = T.StructType.fromDDL("user_id string, tags map<string,string>")
-TERRITORY_SCHEMA = T.StructType.fromDDL("name string, cameo array<string>, fips array<string>")
-LABEL_SCHEMA = T.StructType.fromDDL("lookup_code string, lookup_label string")
+PROFILE_SCHEMA = "user_id string, display_name string, territories array<string>, keywords map<string,array<string>>, briefing_days int, older_news_days int, status string"
+TAG_SCHEMA = "user_id string, tags map<string,string>"
+TERRITORY_SCHEMA = "name string, cameo array<string>, fips array<string>"
+LABEL_SCHEMA = "lookup_code string, lookup_label string"
 assert len(EVENT_FEED) == 61 and len(MENTION_FEED) == 16 and len(EVENT_COLUMNS) == 19 and len(MENTION_COLUMNS) == 9

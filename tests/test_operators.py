@@ -62,7 +62,7 @@ def test_incremental_is_part_of_full(spark, world):
 
 def test_whole_slice_rejection(spark):
     df = spark.createDataFrame([("a", "50"), ("a", "3000"), ("b", ""), ("b", "85.5"), ("c", "n/a")], "slice string, conf string")
-    assert [r.slice for r in validate.accept_slices(df, "slice", validate.bad_confidence(F.col("conf"))).distinct().collect()] == ["b"]
+    assert [r.slice for r in validate.accept_slices(df, "slice", validate.bad_confidence(F.col("conf"))).select("slice").distinct().collect()] == ["b"]
 
 
 def test_bad_stamps(spark):

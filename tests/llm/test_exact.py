@@ -170,7 +170,7 @@ def test_decontamination(spark, sf):
     docs = [
         "Intro text. " + items[0] + " The end.",
         "So then: A train from Bergen covers 90 km in 2 hours; how fast does it go on average over the whole trip? Next.",
-        "A train from Oslo covers 120 km", "Nothing at all here that is alike", None, "", items[0].upper(), "here is a Tiny Item of five words indeed",
+        "A train from Oslo covers 120 km", "Nothing at all here that is alike", None, "", items[0].upper(), "here is a tiny item of FIVE words indeed",
     ]
     d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
     b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")

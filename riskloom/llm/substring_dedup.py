@@ -291,9 +291,10 @@ def repeated_words(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     maps = spark.sparkContext.broadcast((every, hot))
     found = _match_shards(_candidate_spans(own, window, bits, maps), window)
     if any_hot:
-        least = _hot_windows(own, window, maps, True).groupBy("h1", "h2").agg(F.min("doc").alias("least"))
+        least = K.stored(_hot_windows(own, window, maps, True).groupBy("h1", "h2").agg(F.min("doc").alias("least")), "least")
         hits = _hot_windows(own, window, maps, False).join(least, ["h1", "h2"]).filter("doc > least")
-        # written by itself: with no shuffle after it, adaptive execution splits the join of a window that very many have
+        # both sides and the result are written: between plain shuffles, adaptive execution splits the join of a window that
+        # very many have
         hits = K.stored(hits.select("doc", "pos", F.lit(1).alias("mask")), "hits")
         found = found.unionByName(hits)
     return found.groupBy("doc").agg(F.collect_list(F.struct("pos", "mask")).alias("found"))

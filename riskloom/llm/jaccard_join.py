@@ -334,7 +334,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     for done in ("shared", "stars", "texts", "links", "rest"):
         K.remove(spark, f"{folder}/{done}")
     rows = sizes.join(joined.withColumnRenamed("node", "digest"), "digest", "left").select("id", "n", F.when(F.col("n") > 0, F.coalesce("component", "digest")).alias("component"))
-    least = rows.filter("n > 0").groupBy("component").agg(F.min("id").alias("component_id"))
+    rows = K.stored(rows, "rows", folder)
+    # written too: a component that very many rows have is split in a join between plain shuffles
+    least = K.stored(rows.filter("n > 0").groupBy("component").agg(F.min("id").alias("component_id")), "least", folder)
     return rows.join(least, "component", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 

@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,8 @@ SIDE, EMBED, HIDDEN = 2, 16, 32
 MASKED, ROUNDS = 0.1, 2
 BATCH, RATE = 1024, 0.01
 FLUSH_WORDS = 1_000_000
+#: Groups in which tasks' parameters are summed first.
+SALTS = 64
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -166,19 +170,19 @@ def fit(docs: DataFrame, vocab: dict, rounds: int = ROUNDS) -> list[np.ndarray]:
                     masked = masked[np.argsort(draw[masked])]
                     t = train(q, own[masked], around[masked], state, t)
                     seen += len(masked)
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([b"".join(a.astype("<f4").tobytes() for a in q)], pa.binary())], ["n", "parameters"])
-
-        total, weight = np.zeros(sum(a.size for a in p)), 0
-        for row in docs.select("text").mapInArrow(run, "n long, parameters binary").toLocalIterator():  # one task's at a time
-            total += row.n * np.frombuffer(row.parameters, "<f4").astype(np.float64)
-            weight += row.n
-        if not weight:
-            break
-        flat, at = (total / weight).astype(np.float32), 0
-        for i, a in enumerate(p):
-            p[i] = flat[at : at + a.size].reshape(a.shape)
-            at += a.size
+            place = TaskContext.get().partitionId() % SALTS
+            for i, a in enumerate(q if seen else ()):
+                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([place]), pa.array([seen]), pa.array([(a.astype(np.float64) * seen).astype("<f8").tobytes()], pa.binary())], ["tensor", "salt", "n", "total"])
+
+        def add(key, table):
+            total = sum(np.frombuffer(x, "<f8") for x in table["total"].to_pylist())
+            return pa.table({"tensor": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([pa.compute.sum(table["n"]).as_py()], pa.int64()), "total": pa.array([total.tobytes()], pa.binary())})
+
+        # summed by tensor and salt, then by tensor: a group's size is bounded by the tasks over SALTS
+        trained = docs.select("text").mapInArrow(run, "tensor long, salt long, n long, total binary")
+        some = trained.groupBy("tensor", "salt").applyInArrow(add, "tensor long, n long, total binary")
+        for row in some.groupBy("tensor").applyInArrow(add, "tensor long, n long, total binary").collect():
+            p[row.tensor] = (np.frombuffer(row.total, "<f8") / row.n).astype(np.float32).reshape(p[row.tensor].shape)
     return p
 
 

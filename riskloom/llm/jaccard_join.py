@@ -96,7 +96,7 @@ def _order(parts: DataFrame) -> np.ndarray:
     def add_table(key, table):
         return pa.Table.from_batches(list(add(key, table.to_batches())))
 
-    for row in parts.select("id", "counters").groupBy("id").applyInArrow(add_table, "id long, classes binary").toLocalIterator():
+    for row in parts.select("id", "counters").groupBy("id").applyInArrow(add_table, "id long, classes binary").collect():
         out[row.id * SKETCH_BLOCK : (row.id + 1) * SKETCH_BLOCK] = np.frombuffer(row.classes, np.uint8)
     return out
 

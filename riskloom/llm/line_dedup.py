@@ -99,7 +99,7 @@ def build_index(docs: DataFrame, min_docs: int, text_col: str = "text", broadcas
     shards = K.stored(shards, "shards", folder)
     store = ShardStore(folder=f"{folder}/shards")
     if total * SHARD_BYTES + 4096 * number <= broadcast_bytes:
-        store = ShardStore(broadcast=spark.sparkContext.broadcast({r.shard: bytes(r.blob) for r in shards.toLocalIterator()}))
+        store = ShardStore(broadcast=spark.sparkContext.broadcast({r.shard: bytes(r.blob) for r in shards.collect()}))
     store.number = number
     return store
 

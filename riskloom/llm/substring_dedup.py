@@ -168,7 +168,7 @@ def _bitmaps(repeated: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
 
     made = repeated.withColumn("slice", F.shiftrightunsigned("anchor", 64 - slices)).groupBy("slice").applyInArrow(build, "slice long, bits binary, hot binary")
     every, hot = np.zeros((1 << bits) // 8, np.uint8), np.zeros((1 << HOT_BITS) // 8, np.uint8)
-    for row in made.toLocalIterator():
+    for row in made.collect():
         for whole, part in ((every, row.bits), (hot, row.hot)):
             size = len(whole) >> slices
             whole[row.slice * size : (row.slice + 1) * size] = np.frombuffer(part, np.uint8)

@@ -78,7 +78,7 @@ def age_band(cards: DataFrame, briefing_days: int | None = None, min_age_days: i
 
 def in_territories(cards: DataFrame, profiles: DataFrame) -> DataFrame:
     p = profiles.select("user_id", F.coalesce("territories", F.array().cast("array<string>")).alias("_t"))
-    return cards.join(F.broadcast(p), "user_id").filter((F.size("_t") == 0) | F.array_contains("_t", F.col("country"))).drop("_t")
+    return cards.join(p, "user_id").filter((F.size("_t") == 0) | F.array_contains("_t", F.col("country"))).drop("_t")
 
 
 def heat_map(cards: DataFrame) -> DataFrame:

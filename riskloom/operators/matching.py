@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from ..functions.text import has_all, keyword_tokens, keyword_tokens_literal, stem, stem_literal, url_variants, url_variants_literal
 
 ACTOR_CODES = ("Actor1CountryCode", "Actor2CountryCode")
+GRAM = 3
 PLACE_CODES = ("country_code", "Actor1Geo_CountryCode", "Actor2Geo_CountryCode")
 
 
 def user_codes(profiles: DataFrame, territories: DataFrame) -> DataFrame:
     """(user_id, cameo, fips): code sets of each user's known territories; empty for a user without any."""
+    # territories are a fixed dimension of some hundred names
     named = profiles.select("user_id", F.explode_outer("territories").alias("name")).join(F.broadcast(territories), "name", "left")
     gather = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(c, F.array().cast("array<string>"))))))
     return named.groupBy("user_id").agg(gather("cameo").alias("cameo"), gather("fips").alias("fips"))
@@ -68,7 +70,7 @@ def match_by_filter(catalogue: DataFrame, profiles: DataFrame, territories: Data
 def match_relational(catalogue: DataFrame, profiles: DataFrame, territories: DataFrame) -> DataFrame:
     """The same as equi-joins on codes and tokens: the plan does not grow with users and keywords.
 
-    Keywords are looked for in distinct URLs only; users without territories (or keywords) take part through the other half.
+    Keywords are looked for in distinct URLs only (of GRAM letters or more, as all URLs are); users without territories (or keywords) take part through the other half.
     """
     pair = ["doc_id", "global_event_id"]
     codes = user_codes(profiles, territories)
@@ -85,17 +87,25 @@ def match_relational(catalogue: DataFrame, profiles: DataFrame, territories: Dat
     need = stems.select("user_id", "keyword", F.size("stems").alias("n"), F.explode("stems").alias("token"))
     have = catalogue.select(*pair, F.explode("row_tokens").alias("token"))
     text = have.join(need, "token").groupBy("user_id", "keyword", "n", *pair).agg(F.count(F.lit(1)).alias("found")).filter("found = n").select("user_id", *pair)
-    variants = words.select("user_id", F.explode(url_variants(F.col("keyword"))).alias("variant")).distinct()
-    urls = catalogue.select("url").distinct()
-    url_hits = urls.join(F.broadcast(variants), F.lower("url").contains(F.col("variant"))).select("user_id", "url").distinct()
+    # a spelling can only be in URLs that have its first letters: an equi-join on up to GRAM letters, then the substring test
+    variants = words.select("user_id", F.explode(url_variants(F.col("keyword"))).alias("variant")).distinct().withColumn("gram", F.substring("variant", 1, GRAM))
+
+    def runs(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length("low") - (n - 1)), lambda i: F.substring("low", i, F.lit(n)))
+
+    grams = [runs(n) for n in range(1, GRAM + 1)]
+    urls = catalogue.select("url").distinct().withColumn("low", F.lower("url")).filter(F.length("low") >= GRAM)
+    urls = urls.select("url", "low", F.explode(F.array_distinct(F.concat(*grams))).alias("gram"))
+    url_hits = urls.join(variants, "gram").filter(F.contains("low", F.col("variant"))).select("user_id", "url").distinct()
     by_url = catalogue.select("url", *pair).join(url_hits, "url").select("user_id", *pair)
     by_word = text.unionByName(by_url).distinct()
 
     every = catalogue.select(*pair)
     both = geo.join(by_word, ["user_id", *pair])
-    geo_only = geo.join(F.broadcast(free_text), "user_id")
-    word_only = by_word.join(F.broadcast(free_geo), "user_id")
-    neither = every.join(F.broadcast(free_geo.join(free_text, "user_id")))
+    geo_only = geo.join(free_text, "user_id")
+    word_only = by_word.join(free_geo, "user_id")
+    # users without any constraint match everything: this product is the result itself
+    neither = every.crossJoin(free_geo.join(free_text, "user_id"))
     return both.unionByName(geo_only).unionByName(word_only).unionByName(neither.select("user_id", *pair)).distinct()
 
 

@@ -24,7 +24,7 @@ def keyword_match(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
     """pairs (user_id, doc_id, global_event_id, url, article_title, article_keywords) with the first keyword that matches: URLs first, then
     titles, then extracted keywords; keywords and variants in alphabetical order."""
     words = user_keywords(profiles).groupBy("user_id").agg(F.array_sort(F.collect_set("keyword")).alias("kw"))
-    df = pairs.join(F.broadcast(words), "user_id", "left")
+    df = pairs.join(words, "user_id", "left")
     tokens, title = row_tokens(F.col("article_title"), F.col("article_keywords")), row_tokens(F.col("article_title"), F.lit(""))
     df = df.withColumns({"_tokens": tokens, "_title": title, "_url": F.lower("url")})
     none = F.lit(None).cast("struct<k:string,t:string,f:string>")

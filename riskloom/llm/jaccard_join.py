@@ -333,11 +333,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
         joined = K.stored(components(links.unionByName(rest), folder, "ccr"), "components-all", folder)
     for done in ("shared", "stars", "texts", "links", "rest"):
         K.remove(spark, f"{folder}/{done}")
-    rows = sizes.join(joined.withColumnRenamed("node", "digest"), "digest", "left").select("id", "n", F.when(F.col("n") > 0, F.coalesce("component", "digest")).alias("component"))
-    rows = K.stored(rows, "rows", folder)
-    # written too: a component that very many rows have is split in a join between plain shuffles
-    least = K.stored(rows.filter("n > 0").groupBy("component").agg(F.min("id").alias("component_id")), "least", folder)
-    return rows.join(least, "component", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    # by distinct set first, so that copies are one row; the labels are written, and the last join is between plain shuffles
+    names = sizes.filter("n > 0").groupBy("digest").agg(F.min("id").alias("id")).join(joined.withColumnRenamed("node", "digest"), "digest", "left")
+    names = K.stored(names.select("digest", "id", F.coalesce("component", "digest").alias("component")), "names", folder)
+    least = K.stored(names.groupBy("component").agg(F.min("id").alias("component_id")), "least", folder)
+    labels = K.stored(names.join(least, "component").select("digest", "component_id"), "labels", folder)
+    return sizes.join(labels, "digest", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
 def query(spark, sf_dir):

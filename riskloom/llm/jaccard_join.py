@@ -324,7 +324,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     size = stars.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TREE_SETS).cast("int").alias("chunks"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     stars = stars.join(size, "a")
     nodes = stars.select(F.col("b").alias("digest")).distinct()
-    owners = sizes.join(nodes, "digest").groupBy("digest").agg(F.min("id").alias("id"))
+    owners = sizes.groupBy("digest").agg(F.min("id").alias("id")).join(nodes, "digest").select("digest", "id")
     texts = K.stored(own.join(owners, "id").select("digest", "text"), "texts", folder)
     links = K.stored(_join_units(stars, texts, k, num, den, classes), "links", folder)
     joined = K.stored(components(links, folder, "cc"), "components", folder)

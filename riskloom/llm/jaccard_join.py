@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from . import kernel as K
 from .components import components
 
-SKETCH_BITS = 23
+SKETCH_BITS = 22
 SKETCH_BLOCK = 1 << 14
 #: Sets in one prefix tree, about.
 TREE_SETS = 128

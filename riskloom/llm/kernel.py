@@ -19,7 +19,7 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes of text worked on at once; bounds the temporary arrays (about 60 times as many bytes). A longer document goes alone.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -23,8 +23,8 @@ from . import kernel as K
 SPACE_MARK = "▁"
 NONE = np.iinfo(np.int32).max
 #: Segments kept by a worker with their ids; bounds its memory.
-CACHE_SEGMENTS = 300_000
-CACHE_IDS = 4_000_000
+CACHE_SEGMENTS = 150_000
+CACHE_IDS = 2_000_000
 _SEGMENTS = re.compile(" *[^ ]+| +")
 
 
@@ -240,7 +240,7 @@ def vocabulary(model: bytes) -> Vocabulary:
     return _loaded[key]
 
 
-def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", with_ids: bool = True, block_bytes: int = 1 << 20) -> DataFrame:
+def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", with_ids: bool = True, block_bytes: int = 1 << 19) -> DataFrame:
     """All columns of `docs`, and n_tokens, ids_sha256, decoded_sha256, and with `with_ids` also ids (32-bit little-endian)
     and decoded; input columns of these names are replaced.
 
@@ -274,6 +274,7 @@ def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", w
                 ]
                 columns += [pa.array(whole, pa.binary()), pa.array(decoded, pa.string())] if with_ids else []
                 yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
+        vocab.reset()  # workers are used again by other stages
 
     return docs.select(*source).mapInArrow(run, schema)
 

@@ -1,16 +1,20 @@
 """LM scoring by masked pseudo-likelihood with a bidirectional window network in numpy.
 
-Tokens are words without the marks around them, in small letters.  A token's class is one of the FREQUENT most frequent
-words of the corpus, or one of BUCKETS hash buckets of all others; counts cover every document.  The network sees the
-classes of SIDE tokens before and SIDE after a masked token, embeds and joins them, and gives a distribution over classes
-through one hidden layer.  Training masks MASKED of the tokens of every document: each task runs Adam over its documents
+Tokens are words without the marks around them, in small letters.  The classes grow with the corpus: about the square root
+of the number of different words (CLASSES at least), half of them for one frequent word each, half hash buckets of all
+others; counts cover every document.  The network sees the classes of SIDE tokens before and SIDE after a masked token,
+embeds and joins them, and gives a distribution over classes through one hidden layer and a softmax in two steps (group,
+then class within the group), so that a token costs about the square root of the classes.  Training masks MASKED of the tokens of every document: each task runs Adam over its documents
 from the common parameters, and the tasks' parameters are averaged by their number of masked tokens, ROUNDS times.
-A document's score is the sum over all its tokens of log P(class | both sides) + log P(word | class), the latter uniform
-over the bucket's different words.
+A document's score is the sum over all its tokens of log P(class | both sides) + log P(word | class), the latter from
+the word's own count: n / (N + 1) in a bucket of N tokens, where 1 is for words that the counts do not have.  Counts of at most
+about KNOWN frequent words are broadcast; those of all others stay in a table that the documents' words are joined to.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
@@ -22,9 +26,10 @@ from pyspark.sql import types as T
 from . import kernel as K
 from .tokens import cores
 
-FREQUENT, BUCKETS = 64, 64
-CLASSES = FREQUENT + BUCKETS
-EDGE = CLASSES  # the class beyond a document's ends
+#: Classes of a small corpus; a larger one has more.
+CLASSES = 128
+#: Words whose counts are broadcast, at most (the frequent classes' words at least).
+KNOWN = 1 << 16
 SIDE, EMBED, HIDDEN = 2, 16, 32
 MASKED, ROUNDS = 0.1, 2
 BATCH, RATE = 1024, 0.01
@@ -58,29 +63,55 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def class_number(distinct: int) -> int:
+    """Classes of a corpus with so many different words."""
+    return max(CLASSES, 2 * (math.isqrt(distinct) // 2))
+
+
 def vocabulary(docs: DataFrame) -> dict:
-    """Frequent words (sorted hashes and their classes), share of each class, and log of the different words in each."""
-    folder = K.shared_folder(docs.sparkSession)
-    counts = K.stored(word_counts(docs), "counts", folder)
-    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    frequent = np.array([r.word for r in top], np.int64).view(np.uint64)
-    n, distinct = np.ones(CLASSES), np.ones(CLASSES)
-    n[: len(top)] += [r.n for r in top]
-    others = counts.filter(~F.col("word").isin([r.word for r in top])) if top else counts
-    for r in others.groupBy(F.pmod("word", F.lit(BUCKETS)).alias("bucket")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
-        n[FREQUENT + r.bucket] += r.n
-        distinct[FREQUENT + r.bucket] = r.words
-    K.remove(docs.sparkSession, folder)
-    order = np.argsort(frequent)
-    return {"words": frequent[order], "classes": order.astype(np.int64), "bias": np.log(n / n.sum()).astype(np.float32), "within": -np.log(distinct)}
+    """Frequent words (sorted hashes and their classes), share of each class, known words, and where all counts are stored."""
+    path = f"{K.shared_folder(docs.sparkSession)}/counts"
+    counts = K.stored(word_counts(docs), "counts", path.removesuffix("/counts"))
+    # words by quarters of powers of two of their counts: a bounded table, from which the least known count follows
+    held = sorted(counts.groupBy(F.floor(F.log2("n") * 4).alias("level")).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True)
+    classes = class_number(sum(r.words for r in held))
+    frequent, room, least = classes // 2, max(KNOWN, classes // 2), None
+    for r in held:
+        room -= r.words
+        if room < 0:
+            break
+        least = r.level
+    top = counts.filter(F.floor(F.log2("n") * 4) >= least).collect() if least is not None else []
+    words, n = np.array([r.word for r in top], np.int64), np.array([r.n for r in top], np.int64)
+    order = np.lexsort((words, -n))
+    words, n = words[order], n[order]
+    total = np.zeros(classes)
+    buckets = classes - frequent
+    for r in counts.groupBy(F.pmod("word", F.lit(buckets)).alias("bucket")).agg(F.sum("n").alias("n")).collect():
+        total[frequent + r.bucket] = r.n
+    single = min(frequent, len(words))
+    total[:single] = n[:single]
+    np.subtract.at(total, frequent + np.mod(words[:single], buckets), n[:single])
+    own = frequent + np.mod(words, buckets)
+    within = np.log(n) - np.log(total[own] + 1)
+    within[:single] = 0
+    bias = np.log((total + 1) / (total + 1).sum()).astype(np.float32)
+    first, known = np.argsort(words[:single].view(np.uint64)), np.argsort(words.view(np.uint64))
+    return {"words": words[:single].view(np.uint64)[first], "classes": first.astype(np.int64), "frequent": frequent, "bias": bias, "total": total, "known": words.view(np.uint64)[known], "within": within[known], "counts": path}
+
+
+def _found(words: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each word in the sorted words, and whether it is there."""
+    if not len(ordered):
+        return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+    at = np.minimum(np.searchsorted(ordered, words), len(ordered) - 1)
+    return at, ordered[at] == words
 
 
 def _classes(words: np.ndarray, vocab: dict) -> np.ndarray:
-    out = FREQUENT + np.mod(words.view(np.int64), BUCKETS)
-    if len(vocab["words"]):
-        at = np.minimum(np.searchsorted(vocab["words"], words), len(vocab["words"]) - 1)
-        hit = vocab["words"][at] == words
-        out[hit] = vocab["classes"][at[hit]]
+    out = vocab["frequent"] + np.mod(words.view(np.int64), len(vocab["bias"]) - vocab["frequent"])
+    at, hit = _found(words, vocab["words"])
+    out[hit] = vocab["classes"][at[hit]]
     return out
 
 
@@ -89,7 +120,7 @@ def _windows(data, offsets, vocab):
     _, _, _, _, first, words = cores(data, offsets)
     own = _classes(words, vocab)
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    around = np.full((len(own), 2 * SIDE), EDGE, np.int64)
+    around = np.full((len(own), 2 * SIDE), len(vocab["bias"]), np.int64)  # beyond a document's ends
     for j, step in enumerate((*range(-SIDE, 0), *range(1, SIDE + 1))):
         a, b = (own[:step], doc[:step] == doc[-step:]) if step < 0 else (own[step:], doc[step:] == doc[:-step])
         if not len(b):
@@ -100,31 +131,60 @@ def _windows(data, offsets, vocab):
 
 
 def initial(vocab: dict, seed: int = 5) -> list[np.ndarray]:
+    """Embeddings, hidden layer, the groups' output layer, and each group's own output layer over its classes."""
     r = np.random.default_rng(seed)
-    shape = [(CLASSES + 1, EMBED), (2 * SIDE * EMBED, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES)]
-    out = [(r.standard_normal(s) * (0.1 if len(s) == 1 else 1 / np.sqrt(s[0] if s[0] != CLASSES + 1 else EMBED))).astype(np.float32) for s in shape]
-    out[3] *= np.float32(0.1)
-    return [*out, vocab["bias"].copy()]
+    classes = len(vocab["bias"])
+    groups = math.isqrt(classes - 1) + 1
+    members = -(-classes // groups)
+    shape = [(classes + 1, EMBED), (2 * SIDE * EMBED, HIDDEN), (HIDDEN,), (HIDDEN, groups), (groups, HIDDEN, members)]
+    scale = [1 / np.sqrt(EMBED), 1 / np.sqrt(2 * SIDE * EMBED), 0.1, 0.1 / np.sqrt(HIDDEN), 0.1 / np.sqrt(HIDDEN)]
+    embed, w, b, outer, inner = ((r.standard_normal(s) * k).astype(np.float32) for s, k in zip(shape, scale, strict=True))
+    bias = np.full(groups * members, -1e9)
+    bias[:classes] = vocab["bias"]
+    bias = bias.reshape(groups, members)
+    most = bias.max(1)
+    group = most + np.log(np.exp(bias - most[:, None]).sum(1))
+    within = np.where(bias > -1e8, bias - group[:, None], -1e9)
+    return [embed, w, b, outer, group.astype(np.float32), inner, within.astype(np.float32)]
+
+
+def _hidden(p, around):
+    x = p[0][around].reshape(len(around), -1)
+    return x, np.tanh(x @ p[1] + p[2])
 
 
-def _forward(p, around):
-    x = p[0][around].reshape(len(around), -1)
-    h = np.tanh(x @ p[1] + p[2])
-    z = h @ p[3] + p[4]
+def _log_softmax(z):
     z -= z.max(1, keepdims=True)
-    return x, h, z
+    return z - np.log(np.exp(z).sum(1, keepdims=True))
+
+
+def _by_group(group: np.ndarray):
+    """(group, its rows) of every group there is."""
+    order = np.argsort(group, kind="stable")
+    runs = np.flatnonzero(np.append(True, np.diff(group[order]) != 0)) if len(group) else np.zeros(0, np.int64)
+    for lo, hi in zip(runs, np.append(runs[1:], len(group)), strict=True):
+        yield int(group[order[lo]]), order[lo:hi]
 
 
 def train(p: list[np.ndarray], own: np.ndarray, around: np.ndarray, state: list, t: int) -> int:
     """One pass of Adam over the given masked tokens; returns the steps so far."""
+    members = p[5].shape[2]
     for lo in range(0, len(own), BATCH):
         y, c = own[lo : lo + BATCH], around[lo : lo + BATCH]
-        x, h, z = _forward(p, c)
-        e = np.exp(z)
-        g = e / e.sum(1, keepdims=True)
-        g[np.arange(len(y)), y] -= 1
+        x, h = _hidden(p, c)
+        g = np.exp(_log_softmax(h @ p[3] + p[4]))
+        g[np.arange(len(y)), y // members] -= 1
         g /= np.float32(len(y))
-        gh = (g @ p[3].T) * (1 - h * h)
+        gh = g @ p[3].T
+        inner, within = np.zeros_like(p[5]), np.zeros_like(p[6])
+        for k, rows in _by_group(y // members):
+            some = h[rows]
+            gk = np.exp(_log_softmax(some @ p[5][k] + p[6][k]))
+            gk[np.arange(len(rows)), y[rows] % members] -= 1
+            gk /= np.float32(len(y))
+            inner[k], within[k] = some.T @ gk, gk.sum(0)
+            gh[rows] += gk @ p[5][k].T
+        gh *= 1 - h * h
         gx = (gh @ p[1].T).reshape(-1, EMBED)
         at = c.reshape(-1)  # gradients of embeddings: sums by class, as sorted runs
         order = np.argsort(at, kind="stable")
@@ -132,7 +192,7 @@ def train(p: list[np.ndarray], own: np.ndarray, around: np.ndarray, state: list,
         ge = np.zeros_like(p[0])
         ge[at[order][runs]] = np.add.reduceat(gx[order], runs, axis=0)
         t += 1
-        for q, grad, (m, v) in zip(p, (ge, x.T @ gh, gh.sum(0), h.T @ g, g.sum(0)), state, strict=True):
+        for q, grad, (m, v) in zip(p, (ge, x.T @ gh, gh.sum(0), h.T @ g, g.sum(0), inner, within), state, strict=True):
             m *= 0.9
             m += 0.1 * grad
             v *= 0.99
@@ -142,11 +202,14 @@ def train(p: list[np.ndarray], own: np.ndarray, around: np.ndarray, state: list,
 
 
 def log_probabilities(p: list[np.ndarray], own: np.ndarray, around: np.ndarray, step: int = 8192) -> np.ndarray:
+    members = p[5].shape[2]
     out = np.zeros(len(own), np.float64)
     for lo in range(0, len(own), step):
         y = own[lo : lo + step]
-        _, _, z = _forward(p, around[lo : lo + step])
-        out[lo : lo + step] = z[np.arange(len(y)), y] - np.log(np.exp(z).sum(1))
+        _, h = _hidden(p, around[lo : lo + step])
+        out[lo : lo + step] = _log_softmax(h @ p[3] + p[4])[np.arange(len(y)), y // members]
+        for k, rows in _by_group(y // members):
+            out[lo + rows] += _log_softmax(h[rows] @ p[5][k] + p[6][k])[np.arange(len(rows)), y[rows] % members]
     return out
 
 
@@ -190,23 +253,47 @@ def score(docs: DataFrame, vocab: dict, p: list[np.ndarray], id_col: str = "doc_
     """(id, n_tokens, pseudo_log_likelihood, mean_log_probability) of every row.
 
     A null or empty text has no tokens, score 0 and a null mean.  Whole texts are scored; equal texts get equal scores up to
-    rounding; an empty table gives an empty table.  The model's size is fixed, whatever the input.
+    rounding; an empty table gives an empty table.  Words whose counts are not broadcast are joined to the stored counts.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, p))
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("pseudo_log_likelihood", T.DoubleType()), T.StructField("mean_log_probability", T.DoubleType())])
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((vocab, p))
+    id_type = docs.schema[id_col].dataType
+    fields = [("id", id_type), ("row", T.LongType()), ("n", T.LongType()), ("total", T.DoubleType()), ("words", T.ArrayType(T.LongType())), ("times", T.ArrayType(T.LongType()))]
+    schema = T.StructType([T.StructField(*f) for f in fields])
 
     def run(batches):
         vocab, p = shared.value
+        rest = np.log(vocab["total"] + 1)
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for lo, hi, data, offsets in K.blocks(batch.column(1)):
-                own, around, first, _ = _windows(data, offsets, vocab)
-                each = log_probabilities(p, own, around) + vocab["within"][own]
+                own, around, first, words = _windows(data, offsets, vocab)
+                at, hit = _found(words, vocab["known"])
+                within = -rest[own]
+                within[hit] = vocab["within"][at[hit]]
+                each = log_probabilities(p, own, around) + within
                 n = np.diff(first)
                 total = np.diff(np.concatenate([[0.0], np.cumsum(each)])[first])
-                mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n), pa.array(np.where(n > 0, total, 0.0)), mean], schema.fieldNames())
-
-    return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, schema)
+                rare = np.flatnonzero(~hit)
+                doc, word = (np.repeat(np.arange(hi - lo), n))[rare], K.signed(words[rare])
+                order = np.lexsort((word, doc))
+                doc, word = doc[order], word[order]
+                runs = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1]))) if len(doc) else np.zeros(0, np.int64)
+                times, bounds = np.diff(np.append(runs, len(doc))), pa.array(np.searchsorted(doc[runs], np.arange(hi - lo + 1)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(bounds, pa.array(a)) for a in (word[runs], times)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(row + np.arange(hi - lo)), pa.array(n), pa.array(np.where(n > 0, total, 0.0)), *lists], schema.fieldNames())
+                row += hi - lo
+
+    # stored, so that rows keep their numbers
+    rows = K.stored(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, schema), "scored")
+    counts = spark.read.schema("word long, n long").parquet(vocab["counts"])
+    rare = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
+    # whole numbers: sums do not depend on the order
+    logs = F.coalesce(F.round(F.log(counts["n"].cast("double")) * 2.0**32), F.lit(0.0)).cast("long") * F.col("times")
+    more = rare.join(counts, "word", "left").select(F.lit(None).cast(id_type).alias("id"), "row", F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("total"), logs.alias("more"))
+    both = rows.select("id", "row", "n", "total", F.lit(0).cast("long").alias("more")).unionByName(more)
+    whole = both.groupBy("row").agg(F.first("id", ignorenulls=True).alias("id"), F.sum("n").alias("n"), (F.sum("total") + F.sum("more") / 2.0**32).alias("total"))
+    return whole.select(F.col("id").alias(id_col), F.col("n").alias("n_tokens"), F.col("total").alias("pseudo_log_likelihood"), F.when(F.col("n") > 0, F.col("total") / F.col("n")).alias("mean_log_probability"))
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

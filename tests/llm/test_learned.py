@@ -78,3 +78,21 @@ def test_lm_training_helps_on_unseen_documents(spark):
     vocab = lm_score.vocabulary(seen)
     mean = lambda p: lm_score.score(unseen, vocab, p).agg(F.sum("pseudo_log_likelihood") / F.sum("n_tokens")).first()[0]
     assert mean(lm_score.fit(seen, vocab)) > mean(lm_score.initial(vocab)) + 0.05
+
+
+def test_lm_statistics_grow_with_the_corpus(spark):
+    # 400 words seen 50 times and 90,000 seen once: a bucket's words must not share one probability, with or without a broadcast count
+    common, rare = [f"c{i}x" for i in range(400)], [f"r{i}y" for i in range(90_000)]
+    rows = [(i, " ".join(common)) for i in range(50)] + [(100 + i, " ".join(rare[i::100])) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    vocab = lm_score.vocabulary(docs)
+    assert len(vocab["bias"]) == lm_score.class_number(90_400) > lm_score.class_number(1000)
+    assert len(vocab["known"]) == 400  # the rare words' counts are joined
+    got = {r.doc_id: r for r in lm_score.score(docs, vocab, lm_score.initial(vocab)).collect()}
+    assert len(got) == 150 and got[0].mean_log_probability > got[100].mean_log_probability + 2
+    # over all words and the unseen ones of each bucket, P(word | class) is 1
+    n = {r.word: r.n for r in spark.read.parquet(vocab["counts"]).collect()}
+    words = np.array(list(n), np.int64)
+    own = lm_score._classes(words.view(np.uint64), vocab)
+    mass = np.bincount(own, weights=list(n.values()), minlength=len(vocab["bias"]))
+    assert np.allclose(mass, vocab["total"])

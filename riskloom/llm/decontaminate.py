@@ -4,15 +4,17 @@
    become typed placeholders.  Every WINDOW consecutive tokens of a benchmark item with enough literal words give a window hash.
 2. A bitmap of these hashes, of fixed size, lets tasks keep only the document windows that may match; these are hash-joined
    with the item windows.
-3. Each (document, item) pair with matches is judged by the share of the item's tokens that matched windows cover, and by
-   its slots: one item value must always meet the same document value, otherwise the resemblance is of form only.
+3. Each occurrence in a document is judged by the share of the item's tokens that its windows cover, and by its own slots: a
+   slot of the item has one value in an occurrence.  An occurrence is a run of windows at one distance from the item's
+   positions, alone or with its neighbours up to SHIFT tokens away (words put in or left out).  The document's windows are
+   judged together as well (an item in pieces); there one item value must always meet the same document value.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernel as K
@@ -26,6 +28,8 @@ BITS = 22
 COVERAGE = 0.5
 #: Covered tokens that an item of WINDOW tokens or more needs besides.
 LEAST_TOKENS = 12
+#: Tokens put in or left out between windows of one occurrence, at most.
+SHIFT = 8
 
 
 def _windows(data, offsets, widths):
@@ -53,8 +57,14 @@ def _slots(data, at, width, tokens):
     return pa.array(out, pa.list_(pa.string()))
 
 
+def _places(at, width, tokens):
+    """For each window the places of its slots, from the document's first token, in order."""
+    _, _, first, kind, doc = tokens
+    return pa.array([[i - int(first[doc[a]]) for i in range(a, a + w) if kind[i]] for a, w in zip(at.tolist(), width.tolist(), strict=True)], pa.list_(pa.int64()))
+
+
 def _item_windows(items: DataFrame) -> DataFrame:
-    """(hash, item, pos, width, tokens, slots); an item of fewer than WINDOW tokens is one window."""
+    """(hash, item, pos, width, tokens, slots, places); an item of fewer than WINDOW tokens is one window."""
 
     def cut(batches):
         for batch in batches:
@@ -65,9 +75,9 @@ def _item_windows(items: DataFrame) -> DataFrame:
                 size = np.diff(first)[doc[at]] if len(at) else at
                 use = width == np.minimum(size, WINDOW)
                 at, width, h, size = at[use], width[use], h[use], size[use]
-                yield pa.RecordBatch.from_arrays([pa.array(K.signed(h)), ids.take(pa.array(lo + doc[at])), pa.array(at - first[doc[at]]), pa.array(width), pa.array(size), _slots(data, at, width, tokens)], ["hash", "item", "pos", "width", "tokens", "slots"])
+                yield pa.RecordBatch.from_arrays([pa.array(K.signed(h)), ids.take(pa.array(lo + doc[at])), pa.array(at - first[doc[at]]), pa.array(width), pa.array(size), _slots(data, at, width, tokens), _places(at, width, tokens)], ["hash", "item", "pos", "width", "tokens", "slots", "places"])
 
-    return items.mapInArrow(cut, "hash long, item long, pos long, width long, tokens long, slots array<string>")
+    return items.mapInArrow(cut, "hash long, item long, pos long, width long, tokens long, slots array<string>, places array<long>")
 
 
 def _bitmap(windows: DataFrame) -> tuple[np.ndarray, list[int]]:
@@ -99,38 +109,55 @@ def _document_windows(docs: DataFrame, maps) -> DataFrame:
                 use = (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
                 at, width, h = at[use], width[use], h[use]
                 if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(K.signed(h)), ids.take(pa.array(lo + tokens[4][at])), pa.array(width), _slots(data, at, width, tokens)], ["hash", "doc", "width", "slots"])
+                    yield pa.RecordBatch.from_arrays([pa.array(K.signed(h)), ids.take(pa.array(lo + tokens[4][at])), pa.array(at - tokens[2][tokens[4][at]]), pa.array(width), _slots(data, at, width, tokens)], ["hash", "doc", "place", "width", "values"])
+
+    return docs.mapInArrow(cut, "hash long, doc long, place long, width long, values array<string>")
+
+
+def _judged(groups: DataFrame, by: str) -> DataFrame:
+    """(doc, item, tokens, covered, n_slots, n_changed) of groups of windows that cover enough, with consistent slots.
 
-    return docs.mapInArrow(cut, "hash long, doc long, width long, slots array<string>")
+    by: "place" if a place of the item must have one value, "a" if a changed value of the item must.
+    """
+    start = F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("end"))
+    covered = F.aggregate(F.array_sort("at"), start, lambda a, p: F.struct((a["total"] + p["pos"] + p["width"] - F.greatest(p["pos"], a["end"])).alias("total"), (p["pos"] + p["width"]).alias("end")), lambda a: a["total"])
+    changed = F.filter("pairs", lambda p: p["a"] != p["b"])
+    bound = F.col("pairs") if by == "place" else F.col("changed")
+    kept = groups.withColumn("covered", covered).filter((F.col("covered") >= COVERAGE * F.col("tokens")) & (F.col("covered") >= F.least(F.lit(LEAST_TOKENS), "tokens")))
+    kept = kept.withColumn("changed", changed).filter(F.size(F.array_distinct(F.transform(bound, lambda p: F.struct(p[by], p["b"])))) == F.size(F.array_distinct(F.transform(bound, lambda p: p[by]))))
+    return kept.select("doc", "item", "tokens", "covered", F.size(F.array_distinct(F.col("pairs.a"))).cast("long").alias("n_slots"), F.size(F.array_distinct(F.col("changed.a"))).cast("long").alias("n_changed"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(id, item, covered, tokens, coverage, n_slots, n_changed) of every document that holds a benchmark item's template.
 
     covered: tokens of the item in matched windows; n_slots: different slot values of the item in these windows;
-    n_changed: those that have another value in the document (0: a plain copy; more: a re-parameterised one).  A pair is
-    returned if covered >= COVERAGE * tokens, covered >= min(LEAST_TOKENS, tokens), and its slots are consistent: no value
-    of the item meets two different values that are both absent from the item.  Null or empty texts and items, and rows
-    with null ids, match nothing; equal documents and equal items each give their own rows; empty tables give no rows.
+    n_changed: those that have another value in the document (0: a plain copy; more: a re-parameterised one); all of the
+    occurrence that covers most (then the one with fewest changes).  A pair is returned if, in any occurrence, covered >=
+    COVERAGE * tokens, covered >= min(LEAST_TOKENS, tokens), and no slot of the item meets two different values; or if
+    that holds for the document's windows together and no value of the item meets two different values that are both
+    absent from the item.  Null or empty texts and items, and rows with null ids, match nothing; equal documents and equal
+    items each give their own rows; empty tables give no rows.
     """
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text")).filter("doc is not null and text is not null")
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item"), F.col(f"`{item_text_col}`").alias("text")).filter("item is not null and text is not null")
     spark = docs.sparkSession
     windows = K.stored(_item_windows(items), "items")
     maps = spark.sparkContext.broadcast(_bitmap(windows))
-    found = _document_windows(own, maps).withColumnRenamed("slots", "values").distinct()
-    hits = found.join(windows, ["hash", "width"])
-    pairs = F.zip_with("slots", "values", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    pairs = F.transform(F.arrays_zip("places", "slots", "values"), lambda x: F.struct(x["places"].alias("place"), x["slots"].alias("a"), x["values"].alias("b")))
+    hits = _document_windows(own, maps).join(windows, ["hash", "width"]).select("doc", "item", "pos", "width", "tokens", (F.col("place") - F.col("pos")).alias("shift"), pairs.alias("pairs"))
+    spot = F.struct("pos", "width")
+    # a distance's lists are bounded by the item's length, and those of neighbours by SHIFT times that
+    runs = hits.groupBy("doc", "item", "shift").agg(F.first("tokens").alias("tokens"), F.collect_set(spot).alias("at"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
+    near = Window.partitionBy("doc", "item").orderBy("shift").rangeBetween(-SHIFT, SHIFT)
+    joint = runs.select("doc", "item", "tokens", F.array_distinct(F.flatten(F.collect_list("at").over(near))).alias("at"), F.array_distinct(F.flatten(F.collect_list("pairs").over(near))).alias("pairs"))
     # one row for each (document, item, position) before the pairs are gathered: lists are bounded by the item's length
-    hits = hits.groupBy("doc", "item", "pos", "width", "tokens").agg(F.max_by(pairs, F.struct(F.size(F.filter(F.zip_with("slots", "values", lambda a, b: a == b), lambda x: x)), F.array_join("values", " "))).alias("pairs"))
-    grouped = hits.groupBy("doc", "item").agg(F.array_sort(F.collect_list(F.struct("pos", "width"))).alias("at"), F.first("tokens").alias("tokens"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
-    start = F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("end"))
-    covered = F.aggregate("at", start, lambda a, p: F.struct((a["total"] + p["pos"] + p["width"] - F.greatest(p["pos"], a["end"])).alias("total"), (p["pos"] + p["width"]).alias("end")), lambda a: a["total"])
-    changed = F.filter("pairs", lambda p: p["a"] != p["b"])
-    grouped = grouped.withColumn("covered", covered).withColumn("changed", changed)
-    grouped = grouped.withColumn("n_slots", F.size(F.array_distinct(F.col("pairs.a"))).cast("long")).withColumn("n_changed", F.size(F.array_distinct(F.col("changed.a"))).cast("long"))
-    ok = (F.col("covered") >= COVERAGE * F.col("tokens")) & (F.col("covered") >= F.least(F.lit(LEAST_TOKENS), "tokens")) & (F.size("changed") == F.col("n_changed"))
-    return grouped.filter(ok).select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "covered", "tokens", (F.col("covered") / F.col("tokens")).alias("coverage"), "n_slots", "n_changed")
+    alike = F.struct(-F.size(F.filter("pairs", lambda p: p["a"] != p["b"])), F.size("pairs"), F.array_join(F.col("pairs.b"), " "))
+    best = hits.groupBy("doc", "item", "pos", "width", "tokens").agg(F.max_by("pairs", alike).alias("pairs"))
+    whole = best.groupBy("doc", "item").agg(F.first("tokens").alias("tokens"), F.collect_list(spot).alias("at"), F.array_distinct(F.flatten(F.collect_list(F.transform("pairs", lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b")))))).alias("pairs"))
+    every = _judged(runs, "place").unionByName(_judged(joint, "place")).unionByName(_judged(whole, "a"))
+    found = every.groupBy("doc", "item").agg(F.max(F.struct("covered", (-F.col("n_changed")).alias("kept"), "n_slots", "tokens")).alias("m"))
+    return found.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "m.covered", "m.tokens", (F.col("m.covered") / F.col("m.tokens")).alias("coverage"), "m.n_slots", (-F.col("m.kept")).alias("n_changed"))
 
 
 def query(spark, sf_dir):

@@ -188,6 +188,21 @@ def test_decontamination_finds_every_whole_item(spark):
     assert want <= got and len(got - want) <= 1
 
 
+def pairs_found(spark, docs, items):
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r.n_changed for r in decontaminate.contaminated(d, b).collect()}
+
+
+def test_decontamination_judges_each_occurrence(spark):
+    ask = "A train covers {} km in {} hours; how fast does it go on average over the whole long trip?"
+    fruit = "There are {} apples and {} pears in a basket; how many fruits are in the basket in the end?"
+    items = [ask.format(120, 3), fruit.format(3, 3)]
+    docs = [ask.format(90, 2) + " Then this. " + ask.format(80, 5), fruit.format(5, 4), ask.format(90, 2), "A train covers some of the way."]
+    got = pairs_found(spark, docs, items)
+    assert set(got) == {(0, 0), (1, 1), (2, 0)} and min(got.values()) > 0
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_oracles(spark, sf, name):
     con = duckdb.connect()

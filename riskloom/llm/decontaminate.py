@@ -1,7 +1,7 @@
 """Benchmark decontamination by template windows.
 
 1. Words lose the marks around them and their case; numbers, names (capitals inside a sentence) and units after numbers
-   become typed placeholders.  Every WINDOW consecutive tokens of a benchmark item with enough literal words give a window hash.
+   become typed placeholders; a capitalised word that opens a sentence counts both as itself and as a name.  Every WINDOW consecutive tokens of a benchmark item with enough literal words give a window hash.
 2. A bitmap of these hashes, of fixed size, lets tasks keep only the document windows that may match; these are hash-joined
    with the item windows.
 3. Each occurrence in a document is judged by the share of the item's tokens that its windows cover, and by its own slots: a
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .tokens import LITERAL, template
+from .tokens import LITERAL, template, variants
 
 WINDOW = 8
 #: Literal tokens that a window needs at least (a shorter item: half its tokens).
@@ -33,34 +33,44 @@ SHIFT = 8
 
 
 def _windows(data, offsets, widths):
-    """(first token, width, hash, document) of windows of the given widths with enough literal words, and the tokens."""
-    s, e, first, kind, h = template(data, offsets)
+    """(first token, width, hash, kinds used) of windows of the given widths with enough literal words, and the tokens.
+
+    Windows with words that may be names come once for each way to take them (see tokens.variants).  tokens: start, end,
+    first of each document, document, and the kinds of tokens in each way.
+    """
+    s, e, first, kind, h, opening = template(data, offsets)
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    literal = np.concatenate([[0], np.cumsum(kind == LITERAL)])
-    parts = []
-    for w in widths:
-        if len(s) < w:
-            continue
-        at = np.arange(len(s) - w + 1)
-        ok = (doc[at] == doc[at + w - 1]) & (literal[at + w] - literal[at] >= min(LITERALS, (w + 1) // 2))
-        parts.append((at[ok], np.full(int(ok.sum()), w), K.window_hashes(h, w, 60 + w)[ok]))
-    at, width, hashes = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
-    return at, width, hashes, (s, e, first, kind, doc)
-
-
-def _slots(data, at, width, tokens):
+    open_words = np.concatenate([[0], np.cumsum(opening)])
+    parts, kinds = [], []
+    for v, (own, hashes) in enumerate(variants(kind, h, opening)):
+        kinds.append(own)
+        literal = np.concatenate([[0], np.cumsum(own == LITERAL)])
+        for w in widths:
+            if len(s) < w:
+                continue
+            at = np.arange(len(s) - w + 1)
+            ok = (doc[at] == doc[at + w - 1]) & (literal[at + w] - literal[at] >= min(LITERALS, (w + 1) // 2))
+            if v:  # one such word: itself or a name; more: the halves too
+                ok &= open_words[at + w] - open_words[at] >= (1 if v == 1 else 2)
+            if ok.any():
+                parts.append((at[ok], np.full(int(ok.sum()), w), K.window_hashes(hashes, w, 60 + w)[ok], np.full(int(ok.sum()), v)))
+    at, width, hashes, way = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    return at, width, hashes, way, (s, e, first, doc, kinds)
+
+
+def _slots(data, at, width, way, tokens):
     """For each window its slot values, in order."""
-    s, e, _, kind, _ = tokens
+    s, e, _, _, kinds = tokens
     out = []
-    for a, w in zip(at.tolist(), width.tolist(), strict=True):
-        out.append([bytes(data[s[i] : e[i]]).decode("utf-8", "replace").lower() for i in range(a, a + w) if kind[i]])
+    for a, w, v in zip(at.tolist(), width.tolist(), way.tolist(), strict=True):
+        out.append([bytes(data[s[i] : e[i]]).decode("utf-8", "replace").lower() for i in range(a, a + w) if kinds[v][i]])
     return pa.array(out, pa.list_(pa.string()))
 
 
-def _places(at, width, tokens):
+def _places(at, width, way, tokens):
     """For each window the places of its slots, from the document's first token, in order."""
-    _, _, first, kind, doc = tokens
-    return pa.array([[i - int(first[doc[a]]) for i in range(a, a + w) if kind[i]] for a, w in zip(at.tolist(), width.tolist(), strict=True)], pa.list_(pa.int64()))
+    _, _, first, doc, kinds = tokens
+    return pa.array([[i - int(first[doc[a]]) for i in range(a, a + w) if kinds[v][i]] for a, w, v in zip(at.tolist(), width.tolist(), way.tolist(), strict=True)], pa.list_(pa.int64()))
 
 
 def _item_windows(items: DataFrame) -> DataFrame:
@@ -70,12 +80,12 @@ def _item_windows(items: DataFrame) -> DataFrame:
         for batch in batches:
             ids = batch.column(0)
             for lo, _, data, offsets in K.blocks(batch.column(1)):
-                at, width, h, tokens = _windows(data, offsets, range(1, WINDOW + 1))
-                first, doc = tokens[2], tokens[4]
+                at, width, h, way, tokens = _windows(data, offsets, range(1, WINDOW + 1))
+                first, doc = tokens[2], tokens[3]
                 size = np.diff(first)[doc[at]] if len(at) else at
                 use = width == np.minimum(size, WINDOW)
-                at, width, h, size = at[use], width[use], h[use], size[use]
-                yield pa.RecordBatch.from_arrays([pa.array(K.signed(h)), ids.take(pa.array(lo + doc[at])), pa.array(at - first[doc[at]]), pa.array(width), pa.array(size), _slots(data, at, width, tokens), _places(at, width, tokens)], ["hash", "item", "pos", "width", "tokens", "slots", "places"])
+                at, width, h, way, size = at[use], width[use], h[use], way[use], size[use]
+                yield pa.RecordBatch.from_arrays([pa.array(K.signed(h)), ids.take(pa.array(lo + doc[at])), pa.array(at - first[doc[at]]), pa.array(width), pa.array(size), _slots(data, at, width, way, tokens), _places(at, width, way, tokens)], ["hash", "item", "pos", "width", "tokens", "slots", "places"])
 
     return items.mapInArrow(cut, "hash long, item long, pos long, width long, tokens long, slots array<string>, places array<long>")
 
@@ -104,12 +114,12 @@ def _document_windows(docs: DataFrame, maps) -> DataFrame:
         for batch in batches:
             ids = batch.column(0)
             for lo, _, data, offsets in K.blocks(batch.column(1)):
-                at, width, h, tokens = _windows(data, offsets, widths)
+                at, width, h, way, tokens = _windows(data, offsets, widths)
                 bit = (h >> np.uint64(64 - BITS)).astype(np.int64)
                 use = (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-                at, width, h = at[use], width[use], h[use]
+                at, width, h, way = at[use], width[use], h[use], way[use]
                 if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(K.signed(h)), ids.take(pa.array(lo + tokens[4][at])), pa.array(at - tokens[2][tokens[4][at]]), pa.array(width), _slots(data, at, width, tokens)], ["hash", "doc", "place", "width", "values"])
+                    yield pa.RecordBatch.from_arrays([pa.array(K.signed(h)), ids.take(pa.array(lo + tokens[3][at])), pa.array(at - tokens[2][tokens[3][at]]), pa.array(width), _slots(data, at, width, way, tokens)], ["hash", "doc", "place", "width", "values"])
 
     return docs.mapInArrow(cut, "hash long, doc long, place long, width long, values array<string>")
 

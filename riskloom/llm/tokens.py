@@ -64,12 +64,15 @@ def cores(data: np.ndarray, offsets: np.ndarray):
 
 
 def template(data: np.ndarray, offsets: np.ndarray):
-    """(start, end, first of each document, kind, hash) of tokens, with placeholders' hashes for numbers, names and units."""
+    """(start, end, first of each document, kind, hash, opening) of tokens, with placeholders' hashes for numbers, names and units.
+
+    opening: capitalised words that open a document, line or sentence; they are literal here, and may be names as well.
+    """
     s, e, whole, whole_end, first, h = cores(data, offsets)
     n = len(s)
     kind = np.zeros(n, np.int8)
     if not n:
-        return s, e, first, kind, h
+        return s, e, first, kind, h, np.zeros(0, bool)
     count = np.concatenate([[0], np.cumsum(_NUMERIC[data])])
     number = (_DIGIT[data[s]] & (count[e] - count[s] == e - s)) | _among(h, _NUMBER_HASHES)
     doc_start = np.zeros(n, bool)
@@ -88,4 +91,11 @@ def template(data: np.ndarray, offsets: np.ndarray):
     after = np.zeros(n, bool)
     after[1:] = number[:-1] & ~doc_start[1:]
     kind[after & ~number & _among(h, _UNIT_HASHES)] = UNIT
-    return s, e, first, kind, np.where(kind == LITERAL, h, _PLACEHOLDERS[kind])
+    return s, e, first, kind, np.where(kind == LITERAL, h, _PLACEHOLDERS[kind]), upper & opens & (kind == LITERAL)
+
+
+def variants(kind: np.ndarray, h: np.ndarray, opening: np.ndarray):
+    """(kinds, hashes) with none, all, and each half of the opening words as names: all ways for up to two in a window."""
+    half = np.cumsum(opening) % 2 == 1
+    for name in (np.zeros(len(kind), bool), opening, opening & half, opening & ~half):
+        yield np.where(name, np.int8(NAME), kind), np.where(name, _PLACEHOLDERS[NAME], h)

@@ -203,6 +203,13 @@ def test_decontamination_judges_each_occurrence(spark):
     assert set(got) == {(0, 0), (1, 1), (2, 0)} and min(got.values()) > 0
 
 
+def test_decontamination_takes_opening_words_as_names(spark):
+    ask = "{0} buys {1} pens at 3 euros each. {0} pays with 20 euros. How much does {0} get back?"
+    items = [ask.format("Maria", 4), "Anna walks to the old mill and back again before the evening rain comes"]
+    docs = [ask.format("Jonas", 6), "He said that Peter walks to the old mill and back again before the evening rain comes", "Today we had rain."]
+    assert set(pairs_found(spark, docs, items)) == {(0, 0), (1, 1)}
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_oracles(spark, sf, name):
     con = duckdb.connect()

@@ -1,7 +1,7 @@
 """Benchmark decontamination by template windows.
 
 1. Words lose the marks around them and their case; numbers, names (capitals inside a sentence) and units after numbers
-   become typed placeholders; a capitalised word that opens a sentence counts both as itself and as a name.  Every WINDOW consecutive tokens of a benchmark item with enough literal words give a window hash.
+   become typed placeholders; a capitalised word that opens a sentence counts both as itself and as a name.  Every WINDOW consecutive tokens of a benchmark item with enough literal words give a window hash, and all give one of the words as they are.
 2. A bitmap of these hashes, of fixed size, lets tasks keep only the document windows that may match; these are hash-joined
    with the item windows.
 3. Each occurrence in a document is judged by the share of the item's tokens that its windows cover, and by its own slots: a
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .tokens import LITERAL, template, variants
+from .tokens import LITERAL, NUMBER, template, variants
 
 WINDOW = 8
 #: Literal tokens that a window needs at least (a shorter item: half its tokens).
@@ -26,34 +26,36 @@ LITERALS = 4
 BITS = 22
 #: Share of an item's tokens that must be covered.
 COVERAGE = 0.5
-#: Covered tokens that an item of WINDOW tokens or more needs besides.
-LEAST_TOKENS = 12
 #: Tokens put in or left out between windows of one occurrence, at most.
 SHIFT = 8
 
 
 def _windows(data, offsets, widths):
-    """(first token, width, hash, kinds used) of windows of the given widths with enough literal words, and the tokens.
+    """(first token, width, hash, kinds used) of windows of the given widths, and the tokens.
 
-    Windows with words that may be names come once for each way to take them (see tokens.variants).  tokens: start, end,
+    Every window comes once with its words as they are, whose slots are the numbers, and, with enough literal words, as a
+    template.  Windows with words that may be names come once for each way to take them (see tokens.variants).  tokens: start, end,
     first of each document, document, and the kinds of tokens in each way.
     """
-    s, e, first, kind, h, opening = template(data, offsets)
+    s, e, first, kind, h, opening, plain = template(data, offsets)
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     open_words = np.concatenate([[0], np.cumsum(opening)])
     parts, kinds = [], []
-    for v, (own, hashes) in enumerate(variants(kind, h, opening)):
+    exact = (np.where(kind == NUMBER, kind, LITERAL), plain)
+    for v, (own, hashes) in enumerate((*variants(kind, h, opening), exact)):
         kinds.append(own)
         literal = np.concatenate([[0], np.cumsum(own == LITERAL)])
         for w in widths:
             if len(s) < w:
                 continue
             at = np.arange(len(s) - w + 1)
-            ok = (doc[at] == doc[at + w - 1]) & (literal[at + w] - literal[at] >= min(LITERALS, (w + 1) // 2))
-            if v:  # one such word: itself or a name; more: the halves too
+            ok = doc[at] == doc[at + w - 1]
+            if v < 4:
+                ok &= literal[at + w] - literal[at] >= min(LITERALS, (w + 1) // 2)
+            if 0 < v < 4:  # one such word: itself or a name; more: the halves too
                 ok &= open_words[at + w] - open_words[at] >= (1 if v == 1 else 2)
             if ok.any():
-                parts.append((at[ok], np.full(int(ok.sum()), w), K.window_hashes(hashes, w, 60 + w)[ok], np.full(int(ok.sum()), v)))
+                parts.append((at[ok], np.full(int(ok.sum()), w), K.window_hashes(hashes, w, (60 if v < 4 else 160) + w)[ok], np.full(int(ok.sum()), v)))
     at, width, hashes, way = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
     return at, width, hashes, way, (s, e, first, doc, kinds)
 
@@ -85,9 +87,9 @@ def _item_windows(items: DataFrame) -> DataFrame:
                 size = np.diff(first)[doc[at]] if len(at) else at
                 use = width == np.minimum(size, WINDOW)
                 at, width, h, way, size = at[use], width[use], h[use], way[use], size[use]
-                yield pa.RecordBatch.from_arrays([pa.array(K.signed(h)), ids.take(pa.array(lo + doc[at])), pa.array(at - first[doc[at]]), pa.array(width), pa.array(size), _slots(data, at, width, way, tokens), _places(at, width, way, tokens)], ["hash", "item", "pos", "width", "tokens", "slots", "places"])
+                yield pa.RecordBatch.from_arrays([pa.array(K.signed(h)), ids.take(pa.array(lo + doc[at])), pa.array(at - first[doc[at]]), pa.array(width), pa.array(size), _slots(data, at, width, way, tokens), _places(at, width, way, tokens), pa.array(way)], ["hash", "item", "pos", "width", "tokens", "slots", "places", "way"])
 
-    return items.mapInArrow(cut, "hash long, item long, pos long, width long, tokens long, slots array<string>, places array<long>")
+    return items.mapInArrow(cut, "hash long, item long, pos long, width long, tokens long, slots array<string>, places array<long>, way long")
 
 
 def _bitmap(windows: DataFrame) -> tuple[np.ndarray, list[int]]:
@@ -119,9 +121,9 @@ def _document_windows(docs: DataFrame, maps) -> DataFrame:
                 use = (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
                 at, width, h, way = at[use], width[use], h[use], way[use]
                 if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(K.signed(h)), ids.take(pa.array(lo + tokens[3][at])), pa.array(at - tokens[2][tokens[3][at]]), pa.array(width), _slots(data, at, width, way, tokens)], ["hash", "doc", "place", "width", "values"])
+                    yield pa.RecordBatch.from_arrays([pa.array(K.signed(h)), ids.take(pa.array(lo + tokens[3][at])), pa.array(at - tokens[2][tokens[3][at]]), pa.array(width), _slots(data, at, width, way, tokens), pa.array(way)], ["hash", "doc", "place", "width", "values", "doc_way"])
 
-    return docs.mapInArrow(cut, "hash long, doc long, place long, width long, values array<string>")
+    return docs.mapInArrow(cut, "hash long, doc long, place long, width long, values array<string>, doc_way long")
 
 
 def _judged(groups: DataFrame, by: str) -> DataFrame:
@@ -133,7 +135,7 @@ def _judged(groups: DataFrame, by: str) -> DataFrame:
     covered = F.aggregate(F.array_sort("at"), start, lambda a, p: F.struct((a["total"] + p["pos"] + p["width"] - F.greatest(p["pos"], a["end"])).alias("total"), (p["pos"] + p["width"]).alias("end")), lambda a: a["total"])
     changed = F.filter("pairs", lambda p: p["a"] != p["b"])
     bound = F.col("pairs") if by == "place" else F.col("changed")
-    kept = groups.withColumn("covered", covered).filter((F.col("covered") >= COVERAGE * F.col("tokens")) & (F.col("covered") >= F.least(F.lit(LEAST_TOKENS), "tokens")))
+    kept = groups.withColumn("covered", covered).filter(F.col("covered") >= COVERAGE * F.col("tokens"))
     kept = kept.withColumn("changed", changed).filter(F.size(F.array_distinct(F.transform(bound, lambda p: F.struct(p[by], p["b"])))) == F.size(F.array_distinct(F.transform(bound, lambda p: p[by]))))
     return kept.select("doc", "item", "tokens", "covered", F.size(F.array_distinct(F.col("pairs.a"))).cast("long").alias("n_slots"), F.size(F.array_distinct(F.col("changed.a"))).cast("long").alias("n_changed"))
 
@@ -144,8 +146,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     covered: tokens of the item in matched windows; n_slots: different slot values of the item in these windows;
     n_changed: those that have another value in the document (0: a plain copy; more: a re-parameterised one); all of the
     occurrence that covers most (then the one with fewest changes).  A pair is returned if, in any occurrence, covered >=
-    COVERAGE * tokens, covered >= min(LEAST_TOKENS, tokens), and no slot of the item meets two different values; or if
-    that holds for the document's windows together and no value of the item meets two different values that are both
+    COVERAGE * tokens and no slot of the item meets two different values; or if that holds for the document's windows together and no value of the item meets two different values that are both
     absent from the item.  Null or empty texts and items, and rows with null ids, match nothing; equal documents and equal
     items each give their own rows; empty tables give no rows.
     """
@@ -155,7 +156,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     windows = K.stored(_item_windows(items), "items")
     maps = spark.sparkContext.broadcast(_bitmap(windows))
     pairs = F.transform(F.arrays_zip("places", "slots", "values"), lambda x: F.struct(x["places"].alias("place"), x["slots"].alias("a"), x["values"].alias("b")))
-    hits = _document_windows(own, maps).join(windows, ["hash", "width"]).select("doc", "item", "pos", "width", "tokens", (F.col("place") - F.col("pos")).alias("shift"), pairs.alias("pairs"))
+    hits = _document_windows(own, maps).join(windows, ["hash", "width"]).select("doc", "item", "pos", "width", "tokens", (F.col("place") - F.col("pos")).alias("shift"), pairs.alias("pairs"), ((F.col("way") == 0) & (F.col("doc_way") == 0)).alias("plain"))
+    hits = K.stored(hits, "hits")  # read several times below, and small beside the texts
     spot = F.struct("pos", "width")
     # a distance's lists are bounded by the item's length, and those of neighbours by SHIFT times that
     runs = hits.groupBy("doc", "item", "shift").agg(F.first("tokens").alias("tokens"), F.collect_set(spot).alias("at"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
@@ -163,9 +165,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     joint = runs.select("doc", "item", "tokens", F.array_distinct(F.flatten(F.collect_list("at").over(near))).alias("at"), F.array_distinct(F.flatten(F.collect_list("pairs").over(near))).alias("pairs"))
     # one row for each (document, item, position) before the pairs are gathered: lists are bounded by the item's length
     alike = F.struct(-F.size(F.filter("pairs", lambda p: p["a"] != p["b"])), F.size("pairs"), F.array_join(F.col("pairs.b"), " "))
-    best = hits.groupBy("doc", "item", "pos", "width", "tokens").agg(F.max_by("pairs", alike).alias("pairs"))
-    whole = best.groupBy("doc", "item").agg(F.first("tokens").alias("tokens"), F.collect_list(spot).alias("at"), F.array_distinct(F.flatten(F.collect_list(F.transform("pairs", lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b")))))).alias("pairs"))
-    every = _judged(runs, "place").unionByName(_judged(joint, "place")).unionByName(_judged(whole, "a"))
+
+    def together(hits):
+        best = hits.groupBy("doc", "item", "pos", "width", "tokens").agg(F.max_by("pairs", alike).alias("pairs"))
+        return best.groupBy("doc", "item").agg(F.first("tokens").alias("tokens"), F.collect_list(spot).alias("at"), F.array_distinct(F.flatten(F.collect_list(F.transform("pairs", lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b")))))).alias("pairs"))
+
+    # the plain templates also by themselves: other windows' values must not speak against a pair that these show
+    every = _judged(runs, "place").unionByName(_judged(joint, "place"))
+    for some in (hits, hits.filter("plain")):
+        every = every.unionByName(_judged(together(some), "a"))
     found = every.groupBy("doc", "item").agg(F.max(F.struct("covered", (-F.col("n_changed")).alias("kept"), "n_slots", "tokens")).alias("m"))
     return found.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "m.covered", "m.tokens", (F.col("m.covered") / F.col("m.tokens")).alias("coverage"), "m.n_slots", (-F.col("m.kept")).alias("n_changed"))
 

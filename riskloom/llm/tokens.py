@@ -64,7 +64,7 @@ def cores(data: np.ndarray, offsets: np.ndarray):
 
 
 def template(data: np.ndarray, offsets: np.ndarray):
-    """(start, end, first of each document, kind, hash, opening) of tokens, with placeholders' hashes for numbers, names and units.
+    """(start, end, first of each document, kind, hash, opening, own hash) of tokens, with placeholders' hashes for numbers, names and units.
 
     opening: capitalised words that open a document, line or sentence; they are literal here, and may be names as well.
     """
@@ -72,7 +72,7 @@ def template(data: np.ndarray, offsets: np.ndarray):
     n = len(s)
     kind = np.zeros(n, np.int8)
     if not n:
-        return s, e, first, kind, h, np.zeros(0, bool)
+        return s, e, first, kind, h, np.zeros(0, bool), h
     count = np.concatenate([[0], np.cumsum(_NUMERIC[data])])
     number = (_DIGIT[data[s]] & (count[e] - count[s] == e - s)) | _among(h, _NUMBER_HASHES)
     doc_start = np.zeros(n, bool)
@@ -91,7 +91,7 @@ def template(data: np.ndarray, offsets: np.ndarray):
     after = np.zeros(n, bool)
     after[1:] = number[:-1] & ~doc_start[1:]
     kind[after & ~number & _among(h, _UNIT_HASHES)] = UNIT
-    return s, e, first, kind, np.where(kind == LITERAL, h, _PLACEHOLDERS[kind]), upper & opens & (kind == LITERAL)
+    return s, e, first, kind, np.where(kind == LITERAL, h, _PLACEHOLDERS[kind]), upper & opens & (kind == LITERAL), h
 
 
 def variants(kind: np.ndarray, h: np.ndarray, opening: np.ndarray):

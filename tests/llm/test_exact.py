@@ -210,6 +210,12 @@ def test_decontamination_takes_opening_words_as_names(spark):
     assert set(pairs_found(spark, docs, items)) == {(0, 0), (1, 1)}
 
 
+def test_decontamination_finds_exact_copies_of_few_words(spark):
+    items = ["1 2 3 5 8 13 21 34 55 89 144 233 377 which number is next", "every small child in our quiet little town knows an old song about the river boats"]
+    docs = ["See: " + items[0] + "?", "So " + items[1].replace("knows", "heard") + " now.", "Which number is next in 1 2 3 4 5 6 7 8 9 10?"]
+    assert set(pairs_found(spark, docs, items)) == {(0, 0), (1, 1)}
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_oracles(spark, sf, name):
     con = duckdb.connect()

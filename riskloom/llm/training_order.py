@@ -1,7 +1,8 @@
 """Training-order materialisation: every fixed-length token sequence gets a global slot, and slots become binary shards.
 
 Tokens are the UTF-8 bytes of a text as unsigned 8-bit ids; END (0xFF) closes a document and PAD (0xFE) fills its last
-sequence (neither byte occurs in UTF-8).  Sequences are numbered by document id and place, 0..N-1; a keyed Feistel
+sequence (neither byte occurs in UTF-8).  Sequences are numbered by document id, hash of the text, text and place, 0..N-1
+(documents without an id come last); a keyed Feistel
 network permutes the numbers, walking its cycle while a value falls outside 0..N-1, so slots are a permutation of
 0..N-1 that any reader can recompute from (key, N).  A shard holds SHARD_SEQUENCES consecutive slots at a fixed stride:
 slot s lies at byte (s % SHARD_SEQUENCES) * length of shard s // SHARD_SEQUENCES, so reading is sequential and can resume
@@ -58,7 +59,7 @@ def feistel_inverse(slot: np.ndarray, total: int, key: int) -> np.ndarray:
 
 
 def _ranged(docs: DataFrame, length: int) -> tuple[DataFrame, dict[int, int], int]:
-    """The documents in ranges of ids, sorted within; the number of each range's first sequence; the number of all.
+    """The documents in ranges of ids, sorted within (null ids in ranges of their texts' hashes); the number of each range's first sequence; the number of all.
 
     Ranges come from quantiles of the ids (bounded by the number of partitions) and sums by range, so that the texts are
     shuffled once and no table of numbers is joined to them, whatever their number.
@@ -67,34 +68,38 @@ def _ranged(docs: DataFrame, length: int) -> tuple[DataFrame, dict[int, int], in
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bounds = sorted({int(x) for x in docs.approxQuantile("id", [i / parts for i in range(1, parts)], 0.1 / parts)})
     held = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("id"))) if bounds else F.lit(0)
-    docs = docs.withColumn("range", held)
+    digest = F.xxhash64("text")
+    docs = docs.withColumn("range", F.when(F.col("id").isNull(), parts + F.pmod(digest, F.lit(parts)).cast("int")).otherwise(held)).withColumn("digest", digest)
     sums = docs.groupBy("range").agg(F.sum(F.ceil((F.octet_length("text") + 1) / length)).cast("long").alias("n")).collect()
     first, total = {}, 0
     for r in sorted(sums):
         first[r.range], total = total, total + r.n
-    return docs.repartitionById(parts, "range").sortWithinPartitions("range", "id"), first, total
+    return docs.repartitionById(parts, "range").sortWithinPartitions("range", "id", "digest", "text"), first, total
 
 
-def materialise(docs: DataFrame, length: int = LENGTH, shard_sequences: int = SHARD_SEQUENCES, key: int = 20240101, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def materialise(docs: DataFrame, length: int = LENGTH, shard_sequences: int = SHARD_SEQUENCES, key: int = 20240101, id_col: str = "doc_id", text_col: str = "text", repeated: bool = False) -> DataFrame:
     """One row a shard: (shard, first_slot, n_sequences, length, total, doc_ids, places, payload).
 
     payload: the sequences of slots first_slot .. first_slot + n_sequences - 1 one after another, `length` bytes each;
-    doc_ids and places: where each comes from.  A null or empty text, and a row with a null id, has no sequence; longer
-    texts have as many as they need.  Rows that share an id are refused (their
-    sequences would overlap).  An empty table gives no rows.
+    doc_ids and places: where each comes from.  A null or empty text has no sequence; longer texts have as
+    many as they need.  A row with a null id has its sequences like others, with a null in doc_ids.  repeated: rows that
+    share an id each have their own sequences, in the order of their texts' hashes, then texts (equal rows are interchangeable);
+    without it they are refused.  An empty table gives no rows.
     """
     spark = docs.sparkSession
-    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).filter("id is not null and text <> ''")
+    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).filter("text <> ''")
     ranged, base, total = _ranged(own, length)
     shards = max(1, -(-total // shard_sequences))
 
     def cut(batches):
         done, last = dict(base), None
         for batch in batches:
-            ids, ranges = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            if len(ids) and ((ids[1:] == ids[:-1]).any() or ids[0] == last):
-                raise ValueError("several rows have the same id")
-            last = ids[-1] if len(ids) else last
+            ids, ranges = batch.column(0), batch.column(2).to_numpy()
+            if not repeated:
+                held = ids.drop_null().to_numpy()
+                if len(held) and ((held[1:] == held[:-1]).any() or held[0] == last):
+                    raise ValueError("several rows have the same id")
+                last = held[-1] if len(held) else last
             for lo, hi, data, offsets in K.blocks(batch.column(1)):
                 size = np.diff(offsets)
                 n = -(-(size + 1) // length)
@@ -112,7 +117,7 @@ def materialise(docs: DataFrame, length: int = LENGTH, shard_sequences: int = SH
                 slot = feistel(index, total, key)
                 stops = np.arange(len(slot) + 1, dtype=np.int64) * length
                 tokens = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(slot), [None, pa.py_buffer(stops), pa.py_buffer(out)]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array((slot // shard_sequences).astype(np.int32)), pa.array(slot), pa.array(np.repeat(ids[lo:hi], n)), pa.array(place), tokens], ["shard", "slot", "id", "place", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array((slot // shard_sequences).astype(np.int32)), pa.array(slot), ids.take(pa.array(np.repeat(np.arange(lo, hi), n))), pa.array(place), tokens], ["shard", "slot", "id", "place", "tokens"])
 
     def pack(batches):
         rows: list = []
@@ -166,4 +171,4 @@ def write_shards(shards: DataFrame, folder: str) -> DataFrame:
 
 
 def query(spark, sf_dir):
-    return materialise(spark.read.parquet(f"{sf_dir}/documents.parquet")).withColumn("payload_sha256", F.sha2("payload", 256))
+    return materialise(spark.read.parquet(f"{sf_dir}/documents.parquet"), repeated=True).withColumn("payload_sha256", F.sha2("payload", 256))

@@ -159,6 +159,22 @@ def test_training_order(spark, sf, texts, odd, tmp_path):
         training_order.materialise(df.unionByName(df)).collect()
 
 
+def test_training_order_of_repeated_and_null_ids(spark, tmp_path):
+    texts = [(1, "a" * 100), (1, "b" * 10), (1, "b" * 10), (2, "c"), (None, "d" * 70), (None, "d" * 70), (None, None), (3, "")]
+    want = sorted((i if i is not None else -1, k // 64, (t + "\xff")[k : k + 64]) for i, t in texts if t for k in range(0, len(t) + 1, 64))
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def rows(shards):
+        return [(r.first_slot + k, i if i is not None else -1, p, bytes(r.payload[64 * k : 64 * k + 64])) for r in shards.collect() for k, (i, p) in enumerate(zip(r.doc_ids, r.places, strict=True))]
+
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = rows(training_order.materialise(df, 64, 4, 3, repeated=True))
+    assert sorted(g[0] for g in got) == list(range(len(want)))
+    assert sorted((i, p, t.rstrip(b"\xfe").decode("latin-1")) for _, i, p, t in got) == want
+    assert sorted(got) == sorted(rows(training_order.materialise(df.orderBy(F.desc("text")).repartition(5), 64, 4, 3, repeated=True)))
+    assert sum(r.n_sequences for r in training_order.query(spark, str(tmp_path)).collect()) == 6  # the query itself does not refuse
+
+
 def test_license_scan(spark):
     lines = ["Released under the MIT License.", "released UNDER -- the MIT license", "Released under the MIT", None, "", "x", "This work is licensed under the GNU General Public License,\nversion 3.", "Licensed under CC BY-NC 4.0."]
     rows = license_scan.scan(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()

@@ -2,14 +2,17 @@
 
 A block is a line, or a paragraph (between blank lines) of several lines.  Blocks are normalised (small letters, runs of anything but letters and
 digits to one space) and become sets of hashed word bigrams.  Dice >= t needs |A| t / (2 - t) <= |B| <= |A| (2 - t) / t, so
-blocks outside all templates' bounds go first, and each block meets only the templates whose bounds hold it.
+blocks outside all templates' bounds go first, and each block meets only the templates whose bounds hold it.  Notices inside
+longer blocks are found by windows of each template's number of words over the whole text, in texts that hold enough of its bigrams.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import kernel as K
+
 #: SPDX identifiers and their notices.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -35,6 +38,12 @@ TEMPLATES = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+#: Notices that the ones above would be taken for.
+MORE_TEMPLATES = (
+    ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+)
 SIMILARITY = 0.8
 
 
@@ -86,8 +95,50 @@ def scan(docs: DataFrame, templates=TEMPLATES, similarity: float = SIMILARITY, i
     return found.select(F.col("id").alias(id_col), "block", "best.license", (-F.col("best.order")).alias("template"), "best.dice")
 
 
+def _inside(docs: DataFrame, templates, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """(id, key, block, license, template, dice): each license's best window of a text; block is "w" and the window's first word."""
+    known = _template_table(docs.sparkSession, templates)
+    ordered = lambda w: F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w) - 1), lambda a, b: F.xxhash64(a, b))
+    words = F.split(normalise(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), " ")
+    every = F.array(*(F.lit(g) for g in sorted({g for _, _, grams in known for g in grams})))
+    grams = F.transform(F.array(words), lambda w: F.when(F.size(w) > 1, ordered(w)).otherwise(F.array().cast("array<bigint>")))
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("key"), F.explode(grams).alias("grams"))
+    texts = texts.select("id", "key", "grams", F.explode(F.array(F.array_intersect("grams", every))).alias("held"))
+    least, tries = similarity / (2 - similarity), []
+    for number, name, own in known:
+        t = F.array(*(F.lit(g) for g in own))
+        tries.append(F.when(F.size(F.array_intersect("held", t)) >= least * len(own), F.struct(F.lit(number).alias("number"), F.lit(name).alias("license"), t.alias("own"))))
+    hopeful = texts.filter(F.size("held") > 0).select("id", "key", "grams", F.explode(F.array_compact(F.array(*tries))).alias("t"))
+    n = F.size("t.own")
+    starts = F.sequence(F.lit(1), F.greatest(F.size("grams") - n + 1, F.lit(1)))
+    spots = hopeful.select("id", "key", "t", F.explode(F.transform(starts, lambda i: F.struct(i.alias("at"), F.array_distinct(F.slice("grams", i, n)).alias("grams")))).alias("w"))
+    dice = 2.0 * F.size(F.array_intersect("w.grams", "t.own")) / (F.size("w.grams") + n)
+    rank = F.struct(dice.alias("dice"), (-F.col("t.number")).alias("order"), (1 - F.col("w.at")).alias("back"))
+    reached = spots.select("id", "key", F.col("t.license").alias("license"), (F.col("w.at") - 1).alias("at"), n.alias("n"), rank.alias("b")).filter(F.col("b.dice") >= similarity)
+    # of windows that overlap, the best; lists are bounded by the templates' lengths
+    longest = max(len(grams) for _, _, grams in known)
+    near = Window.partitionBy("id", "key").orderBy("at").rangeBetween(-longest, longest)
+    reached = reached.withColumn("others", F.collect_set(F.struct("at", "n", "b")).over(near))
+    top = reached.filter(~F.exists("others", lambda o: (o["at"] <= F.col("at") + F.col("n")) & (F.col("at") <= o["at"] + o["n"]) & (o["b"] > F.col("b"))))
+    top = top.groupBy("id", "key", "license").agg(F.max("b").alias("b"))
+    return top.select("id", "key", F.concat(F.lit("w"), (-F.col("b.back")).cast("string")).alias("block"), "license", (-F.col("b.order")).alias("template"), "b.dice")
+
+
+def scan_all(docs: DataFrame, templates=TEMPLATES + MORE_TEMPLATES, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of scan(), and for licenses that no block of a text has, the best window of that text (block "w" and its first word).
+
+    Rows with equal ids and texts share one such row.
+    """
+    own = docs.select(F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("key")).alias("of"), F.col(f"`{text_col}`").alias("text"))
+    blocks = K.stored(scan(own, templates, similarity, "of", "text").select("of.id", "of.key", "block", "license", "template", "dice"), "blocks")
+    windows = _inside(docs, templates, similarity, id_col, text_col)
+    seen = blocks.select(F.col("id").alias("id2"), F.col("key").alias("key2"), F.col("license").alias("license2")).distinct()
+    new = windows.join(seen, F.col("id").eqNullSafe(F.col("id2")) & (F.col("key") == F.col("key2")) & (F.col("license") == F.col("license2")), "left_anti")
+    return blocks.unionByName(new).select(F.col("id").alias(id_col), "block", "license", "template", "dice")
+
+
 def query(spark, sf_dir):
-    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return scan_all(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def oracle_sql(templates=TEMPLATES, similarity: float = SIMILARITY) -> str:
@@ -99,7 +150,8 @@ with t as (select number, license, {grams} as g from (select number, license, {n
 lines as (select doc_id, (i - 1)::varchar as block, l[i] as text from (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents), unnest(range(1, len(l) + 1)) as u(i)),
 paragraphs as (select doc_id, 'p' || (i - 1)::varchar as block, l[i] as text
  from (select doc_id, regexp_split_to_array(coalesce(text, ''), '
-[ 	]*
+[ 	
+]*
 ') as l from documents), unnest(range(1, len(l) + 1)) as u(i) where contains(l[i], chr(10))),
 blocks as (select doc_id, block, {grams} as g from (select doc_id, block, {norm.format("text")} as w from (select * from lines union all select * from paragraphs))),
 pairs as (select doc_id, block, license, number, 2.0::double * len(list_intersect(blocks.g, t.g)) / (len(blocks.g) + len(t.g)) as dice

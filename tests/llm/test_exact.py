@@ -181,6 +181,14 @@ def test_license_scan(spark):
     assert {(r.doc_id, r.block, r.license, round(r.dice, 3)) for r in rows} == {(0, "0", "MIT", 1.0), (1, "0", "MIT", 1.0), (2, "0", "MIT", 0.857), (6, "0", "GPL-3.0", 0.9), (6, "p0", "GPL-3.0", 1.0), (7, "0", "CC-BY-NC-4.0", 1.0)}
 
 
+def test_license_scan_inside_longer_blocks(spark):
+    gpl3 = "This work is licensed under the GNU General Public License,\n# version 3."
+    header = license_scan.MORE_TEMPLATES
+    texts = ["A note to all readers of this page. Released under the MIT License. And more text follows here on the very same line.", f"# A tool that counts\n# all words of a page\n# {gpl3}\n# More on the tool is\n# in the other file", header[0][1], header[2][1], "No license here at all.", None, ""]
+    rows = license_scan.scan_all(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.license) for r in rows} == {(0, "MIT"), (1, "GPL-3.0"), (2, "LGPL-2.1-or-later"), (3, "AGPL-3.0-or-later")}
+
+
 def test_decontamination(spark, sf):
     items = ["A train from Oslo covers 120 km in 3 hours; how fast does it go on average over the whole trip?", "tiny item of five words", None, ""]
     docs = [

@@ -214,7 +214,7 @@ def log_probabilities(p: list[np.ndarray], own: np.ndarray, around: np.ndarray,
 
 
 def fit(docs: DataFrame, vocab: dict, rounds: int = ROUNDS) -> list[np.ndarray]:
-    """Parameters averaged over the tasks' training; every document takes part in every round."""
+    """Parameters averaged over the tasks' training; MASKED of the tokens of every document take part in each round."""
     spark = docs.sparkSession
     p = initial(vocab)
     for turn in range(rounds):

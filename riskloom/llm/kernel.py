@@ -7,6 +7,8 @@ two different strings collide with a chance below 2**-56, and callers that need
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 import numpy as np
@@ -164,12 +166,43 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+#: Folders that shared_folder() has given out and nobody has removed.
+_folders: list[str] = []
+
+
 def shared_folder(spark) -> str:
-    """A new folder that driver and executors share: inside spark.checkpoint.dir, or in a local run without one, in the warehouse."""
+    """A new folder that driver and executors share: inside spark.checkpoint.dir, or in a local run without one, in the warehouse.
+
+    On a cluster the setting must be there: a folder of the driver's machine would not be seen by executors.  The folder is
+    removed by sweep(), or when the driver's process ends.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.riskloom"
-    return f"{base.rstrip('/')}/riskloom-{uuid.uuid4().hex}"
+    if not _folders:
+        atexit.register(_leave, spark)
+    _folders.append(f"{base.rstrip('/')}/riskloom-{uuid.uuid4().hex}")
+    return _folders[-1]
+
+
+def folders_made() -> int:
+    """How many folders there are, for sweep(since=...)."""
+    return len(_folders)
+
+
+def sweep(spark, since: int = 0) -> None:
+    """Remove the folders made after the first `since`; DataFrames that still read them must have been used up."""
+    for path in _folders[since:]:
+        _delete(spark, path)
+    del _folders[since:]
+
+
+def _leave(spark) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone
+        sweep(spark)
 
 
 def stored(df, name: str, folder: str | None = None):
@@ -181,6 +214,19 @@ def stored(df, name: str, folder: str | None = None):
 
 
 def remove(spark, path: str) -> None:
-    """Delete a folder made by shared_folder(), whatever store it is in."""
+    """Delete a folder made by shared_folder(), or one inside it, whatever store it is in."""
+    _delete(spark, path)
+    if path in _folders:
+        _folders.remove(path)
+
+
+def _delete(spark, path: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def binaries(parts: list[np.ndarray]) -> pa.Array:
+    """A binary value of each array's bytes."""
+    sizes = np.array([p.nbytes for p in parts], np.int64)
+    data = np.concatenate([np.ascontiguousarray(p).view(np.uint8) for p in parts]) if parts else np.zeros(0, np.uint8)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(parts), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())

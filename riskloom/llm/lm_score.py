@@ -4,11 +4,20 @@ Tokens are words without the marks around them, in small letters.  The classes g
 of the number of different words (CLASSES at least), half of them for one frequent word each, half hash buckets of all
 others; counts cover every document.  The network sees the classes of SIDE tokens before and SIDE after a masked token,
 embeds and joins them, and gives a distribution over classes through one hidden layer and a softmax in two steps (group,
-then class within the group), so that a token costs about the square root of the classes.  Training masks MASKED of the tokens of every document: each task runs Adam over its documents
-from the common parameters, and the tasks' parameters are averaged by their number of masked tokens, ROUNDS times.
-A document's score is the sum over all its tokens of log P(class | both sides) + log P(word | class), the latter from
-the word's own count: n / (N + 1) in a bucket of N tokens, where 1 is for words that the counts do not have.  Counts of at most
-about KNOWN frequent words are broadcast; those of all others stay in a table that the documents' words are joined to.
+then class within the group), so that a token costs about the square root of the classes.
+
+1. One pass counts words; another writes every document as class numbers, which all later steps read.
+2. Every token of every document is masked and predicted once in training: in one of ROUNDS rounds, by its hash.  Documents
+   are dealt by hash to training groups (one for GROUP_TOKENS tokens, MOST_GROUPS at most), whatever the cluster.  A group
+   runs Adam from the common parameters, its documents in the order of their texts' hashes, and the groups' parameters are
+   averaged by their tokens, in the order of the groups: another partitioning gives the same model.
+3. A document's score is the sum over all its tokens of log P(class | both sides) + log P(word | class).  The latter comes
+   from the words of all other documents: (n - t) / (N - T + 1) in a bucket of N tokens, T of them in the document, for a
+   word found n times, t of them in the document; 1 / (N - T + 1) is left for words that no other document has, which are
+   spelled out, each byte and the end with 1 / 257.  Logarithms are rounded to whole multiples of 1 / GRID before they are
+   added, so that sums do not depend on order, place or partitioning.
+Counts of at most about KNOWN frequent words are broadcast; those of all others stay in a table that the documents' words are
+joined to.
 """
 
 from __future__ import annotations
@@ -31,11 +40,16 @@ CLASSES = 128
 #: Words whose counts are broadcast, at most (the frequent classes' words at least).
 KNOWN = 1 << 16
 SIDE, EMBED, HIDDEN = 2, 16, 32
-MASKED, ROUNDS = 0.1, 2
-BATCH, RATE = 1024, 0.01
+STEPS = (*range(-SIDE, 0), *range(1, SIDE + 1))
+ROUNDS = 2
+BATCH, RATE = 2048, 0.01
+#: Tokens of a training group, about; groups at most; and tokens that are shuffled within a group, or scored, together.
+GROUP_TOKENS, MOST_GROUPS, CHUNK = 500_000, 4096, 1 << 16
 FLUSH_WORDS = 1_000_000
 #: Groups in which tasks' parameters are summed first.
 SALTS = 64
+GRID = 2.0**24
+SPELL = math.log(257)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -69,9 +83,9 @@ def class_number(distinct: int) -> int:
 
 
 def vocabulary(docs: DataFrame) -> dict:
-    """Frequent words (sorted hashes and their classes), share of each class, known words, and where all counts are stored."""
-    path = f"{K.shared_folder(docs.sparkSession)}/counts"
-    counts = K.stored(word_counts(docs), "counts", path.removesuffix("/counts"))
+    """Frequent words (sorted hashes and their classes), share of each class, known words, where all counts are stored, and training groups."""
+    folder = K.shared_folder(docs.sparkSession)
+    counts = K.stored(word_counts(docs), "counts", folder)
     # words by quarters of powers of two of their counts: a bounded table, from which the least known count follows
     held = sorted(counts.groupBy(F.floor(F.log2("n") * 4).alias("level")).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True)
     classes = class_number(sum(r.words for r in held))
@@ -92,12 +106,10 @@ def vocabulary(docs: DataFrame) -> dict:
     single = min(frequent, len(words))
     total[:single] = n[:single]
     np.subtract.at(total, frequent + np.mod(words[:single], buckets), n[:single])
-    own = frequent + np.mod(words, buckets)
-    within = np.log(n) - np.log(total[own] + 1)
-    within[:single] = 0
     bias = np.log((total + 1) / (total + 1).sum()).astype(np.float32)
     first, known = np.argsort(words[:single].view(np.uint64)), np.argsort(words.view(np.uint64))
-    return {"words": words[:single].view(np.uint64)[first], "classes": first.astype(np.int64), "frequent": frequent, "bias": bias, "total": total, "known": words.view(np.uint64)[known], "within": within[known], "counts": path}
+    groups = int(min(MOST_GROUPS, max(1, math.ceil(total.sum() / GROUP_TOKENS))))
+    return {"words": words[:single].view(np.uint64)[first], "classes": first.astype(np.int64), "frequent": frequent, "bias": bias, "total": total, "known": words.view(np.uint64)[known], "n": n[known], "counts": f"{folder}/counts", "groups": groups}
 
 
 def _found(words: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,19 +127,86 @@ def _classes(words: np.ndarray, vocab: dict) -> np.ndarray:
     return out
 
 
-def _windows(data, offsets, vocab):
-    """Class of each token, the classes around it, each document's first token, and the tokens' hashes."""
-    _, _, _, _, first, words = cores(data, offsets)
-    own = _classes(words, vocab)
-    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    around = np.full((len(own), 2 * SIDE), len(vocab["bias"]), np.int64)  # beyond a document's ends
-    for j, step in enumerate((*range(-SIDE, 0), *range(1, SIDE + 1))):
-        a, b = (own[:step], doc[:step] == doc[-step:]) if step < 0 else (own[step:], doc[step:] == doc[:-step])
-        if not len(b):
-            continue
-        to = around[-step:, j] if step < 0 else around[:-step, j]
-        to[b] = a[b]
-    return own, around, first, words
+def _kind(vocab: dict) -> str:
+    """Bytes of a class number."""
+    return "<u2" if len(vocab["bias"]) < 1 << 16 else "<u4"
+
+
+def contexts(own: np.ndarray, doc: np.ndarray, lo: int, hi: int, beyond: int) -> np.ndarray:
+    """The classes around tokens lo..hi-1; `beyond` outside their documents."""
+    out = np.full((hi - lo, len(STEPS)), beyond, np.int64)
+    at = np.arange(lo, hi)
+    for j, step in enumerate(STEPS):
+        to = np.clip(at + step, 0, len(own) - 1)
+        ok = (to == at + step) & (doc[to] == doc[at])
+        out[ok, j] = own[to[ok]]
+    return out
+
+
+def _runs(*keys: np.ndarray) -> np.ndarray:
+    """Begins of runs of equal keys in sorted arrays."""
+    new = np.zeros(max(0, len(keys[0]) - 1), bool)
+    for k in keys:
+        new |= k[1:] != k[:-1]
+    return np.flatnonzero(np.append(True, new)) if len(keys[0]) else np.zeros(0, np.int64)
+
+
+def _grid(x: np.ndarray) -> np.ndarray:
+    return np.round(x * GRID).astype(np.int64)
+
+
+ENCODED = [("row", T.LongType()), ("digest", T.LongType()), ("n", T.LongType()), ("classes", T.BinaryType()), ("base", T.LongType()), ("words", T.ArrayType(T.LongType())), ("times", T.ArrayType(T.LongType())), ("sizes", T.ArrayType(T.LongType()))]
+
+
+def encode(docs: DataFrame, vocab: dict, counted: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row as class numbers, written once: (id, row, digest, n, classes, base, words, times, sizes).
+
+    base: the part of log P(word | class) that needs no stored count, in units of 1 / GRID; words, times, sizes: the row's
+    different words whose counts are stored only.  counted: the rows are part of the corpus that the counts are of.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(vocab)
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(*f) for f in ENCODED)])
+
+    def run(batches):
+        vocab = shared.value
+        classes, total = len(vocab["bias"]), vocab["total"]
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for lo, hi, data, offsets in K.blocks(batch.column(1)):
+                s, e, _, _, first, words = cores(data, offsets)
+                own = _classes(words, vocab)
+                docs_here = hi - lo
+                doc = np.repeat(np.arange(docs_here), np.diff(first))
+                some = np.flatnonzero(own >= vocab["frequent"])
+                order = some[np.lexsort((words[some], doc[some]))]
+                at = _runs(doc[order], words[order])
+                times = np.diff(np.append(at, len(order)))
+                pick = order[at]
+                d, w, k, size = doc[pick], words[pick], own[pick], (e - s)[pick]
+                key, where = np.unique(d * classes + k, return_inverse=True)
+                here = np.bincount(where, weights=times, minlength=len(key))[where] if counted and len(key) else np.zeros(len(d))
+                part = -times * _grid(np.log(np.maximum(total[k] - here, 0) + 1))
+                place, hit = _found(w, vocab["known"])
+                left = vocab["n"][place[hit]] - (times[hit] if counted else 0)
+                part[hit] += times[hit] * np.where(left > 0, _grid(np.log(np.maximum(left, 1))), -_grid((size[hit] + 1) * SPELL))
+                base = np.zeros(docs_here, np.int64)
+                np.add.at(base, d, part)
+                rest = np.flatnonzero(~hit)
+                bounds = pa.array(np.searchsorted(d[rest], np.arange(docs_here + 1)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(bounds, pa.array(a)) for a in (K.signed(w[rest]), times[rest].astype(np.int64), size[rest].astype(np.int64))]
+                numbers = np.split(own.astype(_kind(vocab)), first[1:-1])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, docs_here), pa.array(row + np.arange(docs_here)), batch.column(2).slice(lo, docs_here), pa.array(np.diff(first)), K.binaries(numbers), pa.array(base), *lists], schema.fieldNames())
+                row += docs_here
+
+    text = F.col(f"`{text_col}`")
+    return K.stored(docs.select(F.col(f"`{id_col}`"), text, F.xxhash64(F.coalesce(text, F.lit("")))).mapInArrow(run, schema), "encoded")
+
+
+def _flat(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The class numbers of all rows of a batch, and each one's row."""
+    data, offsets = K.buffers(column)
+    size = np.diff(offsets) // np.dtype(kind).itemsize
+    return np.frombuffer(data.tobytes(), kind).astype(np.int64), np.repeat(np.arange(len(size)), size)
 
 
 def initial(vocab: dict, seed: int = 5) -> list[np.ndarray]:
@@ -201,107 +280,143 @@ def train(p: list[np.ndarray], own: np.ndarray, around: np.ndarray, state: list,
     return t
 
 
-def log_probabilities(p: list[np.ndarray], own: np.ndarray, around: np.ndarray, step: int = 8192) -> np.ndarray:
-    members = p[5].shape[2]
+def prepared(p: list[np.ndarray]) -> list[np.ndarray]:
+    """The parameters in double precision, with each place's embeddings already through its part of the hidden layer."""
+    embed, w, b, outer, group, inner, within = (a.astype(np.float64) for a in p)
+    tables = np.stack([embed @ w[j * EMBED : (j + 1) * EMBED] for j in range(len(STEPS))])
+    return [tables, b, outer, group, inner, within]
+
+
+def log_probabilities(ready: list[np.ndarray], own: np.ndarray, around: np.ndarray, step: int = 8192) -> np.ndarray:
+    """log P(class | classes around it) of each token; ready: see prepared()."""
+    tables, b, outer, group, inner, within = ready
+    members = inner.shape[2]
     out = np.zeros(len(own), np.float64)
     for lo in range(0, len(own), step):
-        y = own[lo : lo + step]
-        _, h = _hidden(p, around[lo : lo + step])
-        out[lo : lo + step] = _log_softmax(h @ p[3] + p[4])[np.arange(len(y)), y // members]
+        y, c = own[lo : lo + step], around[lo : lo + step]
+        h = b + tables[0][c[:, 0]]
+        for j in range(1, len(STEPS)):
+            h += tables[j][c[:, j]]
+        np.tanh(h, out=h)
+        out[lo : lo + step] = _log_softmax(h @ outer + group)[np.arange(len(y)), y // members]
         for k, rows in _by_group(y // members):
-            out[lo + rows] += _log_softmax(h[rows] @ p[5][k] + p[6][k])[np.arange(len(rows)), y[rows] % members]
+            out[lo + rows] += _log_softmax(h[rows] @ inner[k] + within[k])[np.arange(len(rows)), y[rows] % members]
     return out
 
 
-def fit(docs: DataFrame, vocab: dict, rounds: int = ROUNDS) -> list[np.ndarray]:
-    """Parameters averaged over the tasks' training; MASKED of the tokens of every document take part in each round."""
-    spark = docs.sparkSession
-    p = initial(vocab)
+def _fit(encoded: DataFrame, vocab: dict, rounds: int) -> list[np.ndarray]:
+    spark = encoded.sparkSession
+    p, groups, kind, beyond = initial(vocab), vocab["groups"], _kind(vocab), len(vocab["bias"])
+    dealt = encoded.filter("n > 0").select(F.pmod(F.xxhash64("digest", "id"), F.lit(groups)).cast("int").alias("group"), "digest", "classes")
     for turn in range(rounds):
-        shared = spark.sparkContext.broadcast((vocab, p, turn))
+        shared = spark.sparkContext.broadcast(p)
+
+        def run(batches, shared=shared, turn=turn):
+            held: dict = {}
+
+            def begin(group):
+                q = [a.copy() for a in shared.value]
+                held.update(group=group, q=q, state=[(np.zeros_like(a), np.zeros_like(a)) for a in q], t=0, seen=0, parts=[], waiting=0)
+
+            def learn(least):
+                """Train on whole chunks, and on the rest if it must be."""
+                while held["waiting"] >= max(1, least):
+                    whole = [np.concatenate(x) for x in zip(*held["parts"], strict=True)]
+                    own, around, draw = (x[:CHUNK] for x in whole)
+                    order = np.argsort(draw, kind="stable")
+                    held["t"] = train(held["q"], own[order], around[order], held["state"], held["t"])
+                    held["seen"] += len(own)
+                    held["parts"], held["waiting"] = [[x[CHUNK:] for x in whole]], held["waiting"] - len(own)
+
+            def end():
+                learn(1)
+                for i, a in enumerate(held["q"]):
+                    yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([held["group"] % SALTS]), pa.array([held["group"]]), pa.array([held["seen"]]), pa.array([(a.astype(np.float64) * held["seen"]).astype("<f8").tobytes()], pa.binary())], ["tensor", "salt", "place", "n", "total"])
 
-        def run(batches, shared=shared):
-            vocab, start, turn = shared.value
-            q = [a.copy() for a in start]
-            state, t, seen = [(np.zeros_like(a), np.zeros_like(a)) for a in q], 0, 0
             for batch in batches:
-                for _, _, data, offsets in K.blocks(batch.column(0)):
-                    own, around, first, words = _windows(data, offsets, vocab)
-                    place = np.arange(len(own)) - np.repeat(first[:-1], np.diff(first))
-                    draw = K.mix(words + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(turn + 1))
-                    masked = np.flatnonzero(draw < np.uint64(int(MASKED * 2**64)))
-                    masked = masked[np.argsort(draw[masked])]
-                    t = train(q, own[masked], around[masked], state, t)
-                    seen += len(masked)
-            place = TaskContext.get().partitionId() % SALTS
-            for i, a in enumerate(q if seen else ()):
-                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([place]), pa.array([seen]), pa.array([(a.astype(np.float64) * seen).astype("<f8").tobytes()], pa.binary())], ["tensor", "salt", "n", "total"])
+                group = batch.column(0).to_numpy()
+                digest = batch.column(1).to_numpy().view(np.uint64)
+                own, doc = _flat(batch.column(2), kind)
+                first = np.searchsorted(doc, np.arange(len(group) + 1))
+                for a, b in zip(at := _runs(group).tolist(), [*at[1:], len(group)], strict=True):
+                    if held.get("group") != group[a]:
+                        if held:
+                            yield from end()
+                        begin(int(group[a]))
+                    for lo in range(first[a], first[b], CHUNK):
+                        hi = min(lo + CHUNK, first[b])
+                        place = np.arange(lo, hi) - first[doc[lo:hi]]
+                        draw = K.mix(digest[doc[lo:hi]] + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                        mine = np.flatnonzero(draw % np.uint64(rounds) == turn)
+                        held["parts"].append([own[lo:hi][mine], contexts(own, doc, lo, hi, beyond)[mine], draw[mine]])
+                        held["waiting"] += len(mine)
+                        learn(CHUNK)
+            if held:
+                yield from end()
 
         def add(key, table):
+            table = table.sort_by("place")  # a fixed order: float sums depend on it
             total = sum(np.frombuffer(x, "<f8") for x in table["total"].to_pylist())
-            return pa.table({"tensor": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([pa.compute.sum(table["n"]).as_py()], pa.int64()), "total": pa.array([total.tobytes()], pa.binary())})
-
-        # summed by tensor and salt, then by tensor: a group's size is bounded by the tasks over SALTS
-        trained = docs.select("text").mapInArrow(run, "tensor long, salt long, n long, total binary")
-        some = trained.groupBy("tensor", "salt").applyInArrow(add, "tensor long, n long, total binary")
-        for row in some.groupBy("tensor").applyInArrow(add, "tensor long, n long, total binary").collect():
-            p[row.tensor] = (np.frombuffer(row.total, "<f8") / row.n).astype(np.float32).reshape(p[row.tensor].shape)
+            return pa.table({"tensor": pa.array([key[0].as_py()], pa.int64()), "place": pa.array([key[-1].as_py()], pa.int64()), "n": pa.array([pa.compute.sum(table["n"]).as_py()], pa.int64()), "total": pa.array([total.tobytes()], pa.binary())})
+
+        # summed by tensor and salt, then by tensor: MOST_GROUPS bounds both
+        trained = dealt.repartitionById(groups, "group").sortWithinPartitions("group", "digest").mapInArrow(run, "tensor long, salt long, place long, n long, total binary")
+        some = trained.groupBy("tensor", "salt").applyInArrow(add, "tensor long, place long, n long, total binary")
+        for row in some.groupBy("tensor").applyInArrow(add, "tensor long, place long, n long, total binary").collect():
+            if row.n:
+                p[row.tensor] = (np.frombuffer(row.total, "<f8") / row.n).astype(np.float32).reshape(p[row.tensor].shape)
     return p
 
 
-def score(docs: DataFrame, vocab: dict, p: list[np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, pseudo_log_likelihood, mean_log_probability) of every row.
+def fit(docs: DataFrame, vocab: dict, rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> list[np.ndarray]:
+    """Parameters averaged over the groups' training; every token of every document is predicted in one of the rounds."""
+    return _fit(encode(docs, vocab, True, id_col, text_col), vocab, rounds)
 
-    A null or empty text has no tokens, score 0 and a null mean.  Whole texts are scored; equal texts get equal scores up to
-    rounding; an empty table gives an empty table.  Words whose counts are not broadcast are joined to the stored counts.
-    """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((vocab, p))
-    id_type = docs.schema[id_col].dataType
-    fields = [("id", id_type), ("row", T.LongType()), ("n", T.LongType()), ("total", T.DoubleType()), ("words", T.ArrayType(T.LongType())), ("times", T.ArrayType(T.LongType()))]
-    schema = T.StructType([T.StructField(*f) for f in fields])
+
+def _score(encoded: DataFrame, vocab: dict, p: list[np.ndarray], counted: bool, id_col: str) -> DataFrame:
+    spark = encoded.sparkSession
+    shared, kind, beyond = spark.sparkContext.broadcast(p), _kind(vocab), len(vocab["bias"])
+    id_type = encoded.schema["id"].dataType
+    schema = T.StructType([T.StructField("id", id_type), *(T.StructField(c, T.LongType()) for c in ("row", "n", "total"))])
 
     def run(batches):
-        vocab, p = shared.value
-        rest = np.log(vocab["total"] + 1)
-        row = TaskContext.get().partitionId() << 40
+        ready = prepared(shared.value)
         for batch in batches:
-            for lo, hi, data, offsets in K.blocks(batch.column(1)):
-                own, around, first, words = _windows(data, offsets, vocab)
-                at, hit = _found(words, vocab["known"])
-                within = -rest[own]
-                within[hit] = vocab["within"][at[hit]]
-                each = log_probabilities(p, own, around) + within
-                n = np.diff(first)
-                total = np.diff(np.concatenate([[0.0], np.cumsum(each)])[first])
-                rare = np.flatnonzero(~hit)
-                doc, word = (np.repeat(np.arange(hi - lo), n))[rare], K.signed(words[rare])
-                order = np.lexsort((word, doc))
-                doc, word = doc[order], word[order]
-                runs = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (word[1:] != word[:-1]))) if len(doc) else np.zeros(0, np.int64)
-                times, bounds = np.diff(np.append(runs, len(doc))), pa.array(np.searchsorted(doc[runs], np.arange(hi - lo + 1)).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(bounds, pa.array(a)) for a in (word[runs], times)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(row + np.arange(hi - lo)), pa.array(n), pa.array(np.where(n > 0, total, 0.0)), *lists], schema.fieldNames())
-                row += hi - lo
-
-    # stored, so that rows keep their numbers
-    rows = K.stored(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, schema), "scored")
-    counts = spark.read.schema("word long, n long").parquet(vocab["counts"])
-    rare = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
-    # whole numbers: sums do not depend on the order
-    logs = F.coalesce(F.round(F.log(counts["n"].cast("double")) * 2.0**32), F.lit(0.0)).cast("long") * F.col("times")
-    more = rare.join(counts, "word", "left").select(F.lit(None).cast(id_type).alias("id"), "row", F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("total"), logs.alias("more"))
-    both = rows.select("id", "row", "n", "total", F.lit(0).cast("long").alias("more")).unionByName(more)
-    whole = both.groupBy("row").agg(F.first("id", ignorenulls=True).alias("id"), F.sum("n").alias("n"), (F.sum("total") + F.sum("more") / 2.0**32).alias("total"))
+            own, doc = _flat(batch.column(4), kind)
+            total = batch.column(3).to_numpy().copy()
+            for lo in range(0, len(own), CHUNK):
+                hi = min(lo + CHUNK, len(own))
+                np.add.at(total, doc[lo:hi], _grid(log_probabilities(ready, own[lo:hi], contexts(own, doc, lo, hi, beyond))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(total)], schema.fieldNames())
+
+    rows = encoded.select("id", "row", "n", "base", "classes").mapInArrow(run, schema)
+    counts = spark.read.schema("word long, n long").parquet(vocab["counts"]).withColumnRenamed("n", "found")
+    rare = encoded.select("row", F.explode(F.arrays_zip("words", "times", "sizes")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"), F.col("w.sizes").alias("size"))
+    left = F.coalesce("found", F.lit(0)) - (F.col("times") if counted else F.lit(0))
+    each = F.when(left > 0, F.round(F.log(F.greatest(left, F.lit(1)).cast("double")) * GRID)).otherwise(-F.round((F.col("size") + 1) * SPELL * GRID)).cast("long")
+    more = rare.join(counts, "word", "left").select(F.lit(None).cast(id_type).alias("id"), "row", F.lit(0).cast("long").alias("n"), (F.col("times") * each).alias("total"))
+    whole = rows.unionByName(more).groupBy("row").agg(F.first("id", ignorenulls=True).alias("id"), F.sum("n").alias("n"), (F.sum("total") / GRID).alias("total"))
     return whole.select(F.col("id").alias(id_col), F.col("n").alias("n_tokens"), F.col("total").alias("pseudo_log_likelihood"), F.when(F.col("n") > 0, F.col("total") / F.col("n")).alias("mean_log_probability"))
 
 
+def score(docs: DataFrame, vocab: dict, p: list[np.ndarray], id_col: str = "doc_id", text_col: str = "text", counted: bool = False) -> DataFrame:
+    """(id, n_tokens, pseudo_log_likelihood, mean_log_probability) of every row.
+
+    A null or empty text has no tokens, score 0 and a null mean.  Whole texts are scored; equal texts get equal scores,
+    whatever the partitioning; rows with null or repeated ids each have a row; an empty table gives an empty table.
+    counted: the rows are part of the corpus that the vocabulary was counted on, so their own words are left out of it.
+    """
+    return _score(encode(docs, vocab, counted, id_col, text_col), vocab, p, counted, id_col)
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Vocabulary, training and scoring on one table."""
+    """Vocabulary, training and scoring on one table; see score()."""
     own = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").alias("text"))
     vocab = vocabulary(own)
-    return score(own, vocab, fit(own, vocab), id_col, "text")
+    encoded = encode(own, vocab, True, id_col, "text")
+    return _score(encoded, vocab, _fit(encoded, vocab, ROUNDS), True, id_col)
 
 
 def query(spark, sf_dir):
+    """Scores of all documents (null, empty, repeated and very long texts as in score())."""
     return score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -49,14 +49,31 @@ def test_lm_gradient_lowers_loss():
     around = r.integers(0, lm_score.CLASSES, (4000, 4))
     own = around[:, 1]  # the word before: learnable
     p = lm_score.initial(vocab)
-    before = lm_score.log_probabilities(p, own, around).mean()
+    before = lm_score.log_probabilities(lm_score.prepared(p), own, around).mean()
     state = [(np.zeros_like(a), np.zeros_like(a)) for a in p]
     t = 0
-    for _ in range(40):
+    for _ in range(60):
         t = lm_score.train(p, own, around, state, t)
-    assert lm_score.log_probabilities(p, own, around).mean() > before + 1
-    total = np.exp([lm_score.log_probabilities(p, np.full(3, k), around[:3]) for k in range(lm_score.CLASSES)]).sum(0)
-    assert np.allclose(total, 1, atol=1e-4)
+    ready = lm_score.prepared(p)
+    assert lm_score.log_probabilities(ready, own, around).mean() > before + 1
+    total = np.exp([lm_score.log_probabilities(ready, np.full(3, k), around[:3]) for k in range(lm_score.CLASSES)]).sum(0)
+    assert np.allclose(total, 1, atol=1e-9)
+
+
+def test_lm_network_is_the_plain_network():
+    r = np.random.default_rng(1)
+    vocab = {"bias": r.standard_normal(lm_score.CLASSES).astype(np.float32)}
+    p = lm_score.initial(vocab)
+    around, own = r.integers(0, lm_score.CLASSES + 1, (50, 4)), r.integers(0, lm_score.CLASSES, 50)
+    got = lm_score.log_probabilities(lm_score.prepared(p), own, around)
+    embed, w, b, outer, group, inner, within = (a.astype(np.float64) for a in p)
+    members = inner.shape[2]
+    for i in range(50):
+        h = np.tanh(np.concatenate([embed[c] for c in around[i]]) @ w + b)
+        g = h @ outer + group
+        k, j = divmod(int(own[i]), members)
+        x = h @ inner[k] + within[k]
+        assert abs(got[i] - (g[k] - np.log(np.exp(g).sum()) + x[j] - np.log(np.exp(x).sum()))) < 1e-9
 
 
 def test_lm_scores(spark, sf, odd, empty):
@@ -72,6 +89,65 @@ def test_lm_scores(spark, sf, odd, empty):
     assert lm_score.score_documents(empty).count() == 0
 
 
+def test_lm_scores_do_not_depend_on_partitions_or_place(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(docs.filter("doc_id < 20").withColumn("doc_id", F.lit(None).cast("long")))  # null ids, repeated rows
+    small = lm_score.GROUP_TOKENS
+    lm_score.GROUP_TOKENS = 20_000
+    try:
+        runs = []
+        for parts in (1, 7):
+            rows = lm_score.score_documents(docs.repartition(parts)).collect()
+            runs.append(sorted((r.doc_id if r.doc_id is not None else -1, r.n_tokens, r.pseudo_log_likelihood) for r in rows))
+    finally:
+        lm_score.GROUP_TOKENS = small
+    assert runs[0] == runs[1] and len(runs[0]) == docs.count()
+
+
+def plain_scores(docs, vocab, p, counts):
+    """The same scores word by word, with every document's own words left out of the counts."""
+    from collections import Counter
+
+    from riskloom.llm import kernel as K
+    from riskloom.llm.tokens import cores
+
+    ready, out = lm_score.prepared(p), {}
+    for i, text in docs.items():
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        s, e, _, _, _, words = cores(data, np.array([0, len(data)]))
+        own = lm_score._classes(words, vocab).tolist()
+        tokens, times, inside, total = K.signed(words).tolist(), Counter(K.signed(words).tolist()), Counter(own), 0.0
+        for j, (w, k) in enumerate(zip(tokens, own, strict=True)):
+            around = [own[j + d] if 0 <= j + d < len(own) else len(vocab["bias"]) for d in lm_score.STEPS]
+            total += float(lm_score.log_probabilities(ready, np.array([k]), np.array([around]))[0])
+            if k >= vocab["frequent"]:
+                left = counts[w] - times[w]
+                total += np.log(left) if left else -(int(e[j] - s[j]) + 1) * lm_score.SPELL
+                total -= np.log(vocab["total"][k] - inside[k] + 1)
+        out[i] = (len(own), total)
+    return out
+
+
+def test_lm_scores_by_brute_force(spark, sf, odd, monkeypatch):
+    monkeypatch.setattr(lm_score, "KNOWN", 64)  # most words' counts are joined
+    docs, df = odd
+    own = df.select("doc_id", "text")
+    vocab = lm_score.vocabulary(own)
+    p = lm_score.fit(own, vocab)
+    counts = {r.word: r.n for r in spark.read.parquet(vocab["counts"]).collect()}
+    want = plain_scores(docs, vocab, p, counts)
+    for r in lm_score.score(own, vocab, p, counted=True).collect():
+        n, total = want[r.doc_id]
+        assert r.n_tokens == n and abs(r.pseudo_log_likelihood - total) < 1e-4 * max(1, n) ** 0.5
+
+
+def test_lm_tells_documents_that_occur_twice(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = lm_score.score_documents(docs).join(docs.groupBy("text").agg(F.count(F.lit(1)).alias("copies")).join(docs, "text").select("doc_id", "copies"), "doc_id").filter("n_tokens > 0").collect()
+    once, twice = ([r.mean_log_probability for r in rows if r.copies == n] for n in (1, 2))
+    assert np.mean(np.array(twice) > np.quantile(once, 0.9)) > 0.4
+
+
 def test_lm_training_helps_on_unseen_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     seen, unseen = docs.filter("doc_id % 5 <> 0"), docs.filter("doc_id % 5 = 0")

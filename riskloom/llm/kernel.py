@@ -14,6 +14,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import functions as F
 
 U64 = np.uint64
 SPACE = np.zeros(256, bool)
@@ -162,6 +163,11 @@ def texts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, offsets: np.nd
     return pa.LargeStringArray.from_buffers(len(first) - 1, pa.py_buffer(final), pa.py_buffer(np.ascontiguousarray(out[solid]))).cast(pa.string())
 
 
+def positional(fields) -> list:
+    """The columns under plain names, so that mapInArrow takes columns of any name (it cannot find a name with a dot)."""
+    return [F.col(f"`{f.name}`").alias(f"riskloom {i}") for i, f in enumerate(fields)]
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from . import kernel as K
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _large(edges: DataFrame, folder: str, tag: str) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # written, so that the join of a node with very many links is between plain shuffles and can be split
+    least = K.stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{tag}-large", folder)
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
 
 
-def _small(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+def _small(edges: DataFrame, folder: str, tag: str) -> DataFrame:
+    least = K.stored(edges.groupBy("u").agg(F.min("v").alias("m")), f"{tag}-small", folder)
     moved = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -33,7 +34,10 @@ def components(links: DataFrame, folder: str, tag: str = "cc") -> DataFrame:
         if now == sign:
             break
         sign, i = now, i + 1
-        after = K.stored(_small(_large(edges)), f"{tag}-{i}", folder)
+        middle = K.stored(_large(edges, folder, tag), f"{tag}-middle", folder)
+        after = K.stored(_small(middle, folder, tag), f"{tag}-{i}", folder)
         K.remove(spark, f"{folder}/{tag}-{i - 1}")
         edges = after
+    for part in ("large", "middle", "small"):
+        K.remove(spark, f"{folder}/{tag}-{part}")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

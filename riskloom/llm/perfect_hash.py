@@ -7,7 +7,6 @@ its bit; the others go to the next level.  A key's slot is the number of set bit
 from __future__ import annotations
 
 import struct
-from collections import OrderedDict
 
 import numpy as np
 
@@ -88,28 +87,3 @@ class Shard:
             bits.append(np.unpackbits(np.frombuffer(raw, np.uint8, size // 8, at), bitorder="little").astype(bool))
             at += size // 8
         return cls(bits, np.frombuffer(raw, U64, n, at), np.frombuffer(raw, np.uint32, n, at + 8 * n))
-
-
-class ShardStore:
-    """Shards by number: from broadcast bytes, or read one by one from a Parquet folder; at most `resident` stay unpacked."""
-
-    def __init__(self, broadcast=None, folder: str | None = None, resident: int = 8):
-        self.broadcast, self.folder, self.resident, self.open = broadcast, folder, resident, OrderedDict()
-
-    def get(self, number: int) -> Shard | None:
-        if number in self.open:
-            self.open.move_to_end(number)
-            return self.open[number]
-        if self.broadcast is not None:
-            raw = self.broadcast.value.get(number)
-        else:
-            import pyarrow.dataset as ds
-            from pyarrow import fs
-
-            where, path = fs.FileSystem.from_uri(self.folder)
-            rows = ds.dataset(path, filesystem=where, format="parquet").to_table(columns=["blob"], filter=ds.field("shard") == number)
-            raw = rows["blob"][0].as_py() if rows.num_rows else None
-        shard = self.open[number] = Shard.from_bytes(raw) if raw else None
-        while len(self.open) > self.resident:
-            self.open.popitem(last=False)
-        return shard

@@ -1,8 +1,8 @@
 """Quality rules as weak supervision, in DataFrame operations only.
 
 Every rule votes good (1), bad (-1) or abstains (0) on a document.  Expectation-maximisation over the counts of vote
-patterns (at most 3**9 rows, whatever the number of documents) estimates the share of good documents and each rule's
-accuracy on good and on bad ones; the posterior probability of "good" then replaces an all-rules-must-pass filter.
+patterns (at most 3**9 rows, whatever the number of documents, fetched once) estimates the share of good documents and each
+rule's accuracy on good and on bad ones; the posterior probability of "good" then replaces an all-rules-must-pass filter.
 Signals are computed inside each row with built-in and higher-order functions: nothing is exploded or shuffled but the
 pattern counts.
 """
@@ -56,12 +56,14 @@ def _covered(hashes: Column) -> Column:
 
 
 def signals(docs: DataFrame, carry: list[str], text_col: str = "text") -> DataFrame:
-    """`carry` columns, SIGNALS, base_failed, and a vote per rule (columns vote_<rule>)."""
+    """carried (a struct of the `carry` columns; none without any), SIGNALS, base_failed, and a vote per rule (columns vote_<rule>)."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     trimmed = F.btrim(text, F.lit(WS))
-    df = docs.select(*(F.col(f"`{c}`") for c in carry), text.alias("_text"), F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_BREAK)).alias("_words"))
+    carried = [F.struct(*(F.col(f"`{c}`") for c in carry)).alias("carried")] if carry else []
+    df = docs.select(*carried, text.alias("_text"), F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_BREAK)).alias("_words"))
+    carried = ["carried"] if carry else []
     df = df.select(
-        *carry,
+        *carried,
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.regexp_count("_text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -73,13 +75,13 @@ def signals(docs: DataFrame, carry: list[str], text_col: str = "text") -> DataFr
         F.size(F.filter("_words", lambda w, i: w == F.get("_words", i - 1))).alias("_again"),
         F.regexp_count("_text", F.lit(r"[^\p{L}\s]")).alias("_marks"),
     )
-    df = df.withColumn("n_lines_full", F.size("_lines")).withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
+    df = df.withColumn("_full", F.size("_lines")).withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
     df = df.withColumn("n_repeat_words", F.when(F.size(F.array_distinct("_windows")) == F.size("_windows"), F.lit(0).cast("long")).otherwise(_covered(F.col("_windows"))))
     n = F.greatest(F.col("n_words"), F.lit(1))
     ratio = lambda x: F.col(x) / n
     vote = lambda good, bad: F.when(bad, -1).when(good, 1).otherwise(0).cast("int")
     size = F.col("word_chars") / n
-    lines = F.col("n_dup_lines") / F.greatest(F.col("n_lines_full"), F.lit(1))
+    lines = F.col("n_dup_lines") / F.greatest(F.col("_full"), F.lit(1))
     votes = {
         "length": vote(F.col("n_words") >= 50, F.col("n_words") < 20),
         "word_length": vote(size.between(3.0, 9.0), (size < 2.5) | (size > 12.0)),
@@ -92,7 +94,7 @@ def signals(docs: DataFrame, carry: list[str], text_col: str = "text") -> DataFr
         "marks": vote(ratio("_marks") <= 0.4, ratio("_marks") > 0.8),
     }
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return df.select(*carry, *SIGNALS, failed.alias("base_failed"), *(votes[r].alias(f"vote_{r}") for r in RULES))
+    return df.select(*carried, *SIGNALS, failed.alias("base_failed"), *(votes[r].alias(f"vote_{r}") for r in RULES))
 
 
 def _likelihoods(model: dict) -> tuple[Column, Column]:
@@ -112,32 +114,35 @@ def posterior(model: dict) -> Column:
 
 def fit(votes: DataFrame) -> dict:
     """Share of good documents, and each rule's accuracy on good and on bad ones, by expectation-maximisation."""
-    folder = K.shared_folder(votes.sparkSession)
     names = [f"vote_{r}" for r in RULES]
-    patterns = K.stored(votes.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).coalesce(1), "patterns", folder).cache()
+    # one row for each pattern of votes: bounded by the rules
+    patterns = sorted((tuple(r[v] for v in names), r["n"]) for r in votes.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect())
     model = {"good": PRIOR_GOOD, "accuracy": {r: PRIOR_ACCURACY for r in RULES}}
-    for _ in range(ROUNDS):
-        p = F.col("p")
-        sums = [F.sum(F.col("n") * p).alias("good"), F.sum(F.col("n")).alias("all")]
-        for r in RULES:
-            v = F.col(f"vote_{r}")
-            for name, value, weight in (("gg", 1, p), ("gb", -1, p), ("bb", -1, 1 - p), ("bg", 1, 1 - p)):
-                sums.append(F.sum(F.when(v == value, F.col("n") * weight).otherwise(0.0)).alias(f"{name}_{r}"))
-        s = patterns.withColumn("p", posterior(model)).agg(*sums).first()
-        if not s["all"]:
-            break
-        w = PRIOR_WEIGHT
-        after = {"good": (s["good"] + w * PRIOR_GOOD) / (s["all"] + w), "accuracy": {}}
-        for r in RULES:
-            a = (s[f"gg_{r}"] + w * PRIOR_ACCURACY[0]) / (s[f"gg_{r}"] + s[f"gb_{r}"] + w)
-            b = (s[f"bb_{r}"] + w * PRIOR_ACCURACY[1]) / (s[f"bb_{r}"] + s[f"bg_{r}"] + w)
+    every, w = sum(n for _, n in patterns), PRIOR_WEIGHT
+    for _ in range(ROUNDS if patterns else 0):
+        good_total = 0.0
+        # documents by vote and rule: those that are good, and those that are bad, in the share that the model gives them
+        good_by, bad_by = ({v: [0.0] * len(RULES) for v in (-1, 0, 1)} for _ in range(2))
+        factors = [({1: a, -1: 1 - a, 0: 1.0}, {1: 1 - b, -1: b, 0: 1.0}) for a, b in (model["accuracy"][r] for r in RULES)]
+        for pattern, n in patterns:
+            good, bad = model["good"], 1 - model["good"]
+            for v, (if_good, if_bad) in zip(pattern, factors, strict=True):
+                good *= if_good[v]
+                bad *= if_bad[v]
+            share = n * good / (good + bad)
+            good_total += share
+            for i, v in enumerate(pattern):
+                good_by[v][i] += share
+                bad_by[v][i] += n - share
+        after = {"good": (good_total + w * PRIOR_GOOD) / (every + w), "accuracy": {}}
+        for i, r in enumerate(RULES):
+            a = (good_by[1][i] + w * PRIOR_ACCURACY[0]) / (good_by[1][i] + good_by[-1][i] + w)
+            b = (bad_by[-1][i] + w * PRIOR_ACCURACY[1]) / (bad_by[-1][i] + bad_by[1][i] + w)
             after["accuracy"][r] = (a, b)
         change = max(abs(after["good"] - model["good"]), *(abs(x - y) for r in RULES for x, y in zip(after["accuracy"][r], model["accuracy"][r], strict=True)))
         model = after
         if change < SETTLED:
             break
-    patterns.unpersist()
-    K.remove(votes.sparkSession, folder)
     return model
 
 
@@ -146,15 +151,18 @@ def rate(docs: DataFrame, carry: list[str], text_col: str = "text") -> DataFrame
 
     base_failed: fewer than 20 words, or over 30 % of the words in 8-word windows that the text repeats.  kept: not
     base_failed, and quality at least KEEP_FROM.  A null or empty text has no words and is not kept; ties at KEEP_FROM are
-    kept; equal texts get equal results; an empty table gives an empty table.  Names in `carry` that clash with columns
-    made here are left out.  The signals (with `carry`) are written once to the shared folder and read twice.
+    kept; equal texts get equal results; rows with null or repeated ids are judged like others; an empty table gives an empty
+    table.  Names in `carry` that clash with columns made here are left out; any other name is carried as it is.  The signals
+    (with `carry`) are written once to the shared folder and read twice.
     """
     made = {*SIGNALS, "base_failed", "kept", "quality", *(f"vote_{r}" for r in RULES)}
-    carry = [c for c in carry if c not in made]
+    carry = [c for c in carry if c.lower() not in made]
     found = K.stored(signals(docs, carry, text_col), "signals")
     quality = posterior(fit(found))
-    return found.withColumn("quality", quality).withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= KEEP_FROM)).select(*carry, *SIGNALS, "base_failed", "kept", "quality", *(f"vote_{r}" for r in RULES))
+    rated = found.withColumn("quality", quality).withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= KEEP_FROM))
+    return rated.select(*(["carried.*"] if carry else []), *SIGNALS, "base_failed", "kept", "quality", *(f"vote_{r}" for r in RULES))
 
 
 def query(spark, sf_dir):
+    """Every document rated; odd texts as in rate()."""
     return rate(spark.read.parquet(f"{sf_dir}/documents.parquet"), ["doc_id"])

@@ -2,7 +2,8 @@
 
 Only passages that occur more than once can lose words, so they alone become reference shards:
 
-1. Every 13-word window has an anchor: its 5-word run of least hash.  One pass counts anchors (partial sums first).
+1. Every 13-word window has an anchor: its 5-word run of least hash (for other window lengths, see _anchor).  One pass counts
+   anchors (partial sums first).
 2. A bitmap of anchors that occur twice or more, of bounded size, goes to all tasks (a set bit may be wrong, which costs
    volume, never results; a clear bit is right).  A second pass cuts each document into spans of consecutive windows with
    the same anchor and sends the spans of set anchors to the anchor's shard, so equal windows always meet in one shard.
@@ -29,8 +30,10 @@ from pyspark.sql import types as T
 from . import kernel as K
 
 ANCHOR_WORDS = 5
+#: Windows that a span has at most: the bits of its mask.
+SPAN_WINDOWS = 31
 #: Occurrences of an anchor from which its windows go one by one.
-HOT = 64
+HOT = 512
 HOT_BITS = 22
 #: Largest bitmap of repeated anchors, as a power of two of bits (64 MB).
 MOST_BITS = 29
@@ -109,6 +112,11 @@ class SuffixAutomaton:
         return out
 
 
+def _anchor(window: int) -> int:
+    """Words of an anchor: ANCHOR_WORDS, or fewer in a shorter window; more in a window of over 35 words, so that masks suffice."""
+    return max(min(ANCHOR_WORDS, window), window - SPAN_WINDOWS + 1)
+
+
 def _spans(data, offsets, window: int):
     """Words, each document's first word, and spans of windows with one anchor: first word, windows, anchor hash, document."""
     starts, ends = K.word_bounds(data, offsets)
@@ -117,8 +125,8 @@ def _spans(data, offsets, window: int):
     if len(starts) < window:
         return starts, ends, first, empty, empty, np.zeros(0, np.uint64), empty, np.zeros(0, np.uint64)
     (words,) = K.span_hashes(data, starts, ends)
-    grams = K.window_hashes(words, ANCHOR_WORDS)
-    wide = window - ANCHOR_WORDS + 1
+    grams = K.window_hashes(words, _anchor(window))
+    wide = window - _anchor(window) + 1
     least = np.lib.stride_tricks.sliding_window_view(grams, wide).argmin(1) + np.arange(len(grams) - wide + 1)
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     ok = doc[: len(least)] == doc[window - 1 :]
@@ -229,15 +237,11 @@ def _match_shards(spans: DataFrame, window: int) -> DataFrame:
             for w, d in zip(words, docs[a:b].tolist(), strict=True):
                 if d < least.get(w, d + 1):
                     least[w] = d
-            if len(least) == 1:  # one span only: its own automaton names its least document at every window
-                (w,) = least
-                owners = {w: [least[w]] * (len(w) - window + 1)}
-            else:
-                automaton = SuffixAutomaton()
-                for w, d in least.items():
-                    automaton.add(w, d)
-                automaton.settle()
-                owners = {w: automaton.least_owners(w, window)[window - 1 :] for w in least}
+            automaton = SuffixAutomaton()
+            for w, d in least.items():
+                automaton.add(w, d)
+            automaton.settle()
+            owners = {w: automaton.least_owners(w, window)[window - 1 :] for w in least}
             for w, d, p in zip(words, docs[a:b].tolist(), pos[a:b].tolist(), strict=True):
                 mask = 0
                 for i, o in enumerate(owners[w]):
@@ -281,23 +285,29 @@ def _hot_windows(docs: DataFrame, window: int, maps, pre_aggregate: bool) -> Dat
 
 def repeated_words(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, found): per document that has any, (pos, mask) of windows that also start in a document of smaller id."""
+    if window < 1:
+        raise ValueError("a window has one word at least")
     spark = docs.sparkSession
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text")).filter("doc is not null")
     folder = K.shared_folder(spark)
     repeated = K.stored(_anchor_counts(own, window), "anchors", folder)
     bits, every, hot = _bitmaps(repeated)
     any_hot = bool(hot.any())
-    K.remove(spark, folder)
+    K.remove(spark, f"{folder}/anchors")
     maps = spark.sparkContext.broadcast((every, hot))
     found = _match_shards(_candidate_spans(own, window, bits, maps), window)
     if any_hot:
-        least = K.stored(_hot_windows(own, window, maps, True).groupBy("h1", "h2").agg(F.min("doc").alias("least")), "least")
+        least = K.stored(_hot_windows(own, window, maps, True).groupBy("h1", "h2").agg(F.min("doc").alias("least")), "least", folder)
         hits = _hot_windows(own, window, maps, False).join(least, ["h1", "h2"]).filter("doc > least")
         # both sides and the result are written: between plain shuffles, adaptive execution splits the join of a window that
         # very many have
-        hits = K.stored(hits.select("doc", "pos", F.lit(1).alias("mask")), "hits")
+        hits = K.stored(hits.select("doc", "pos", F.lit(1).alias("mask")), "hits", folder)
         found = found.unionByName(hits)
-    return found.groupBy("doc").agg(F.collect_list(F.struct("pos", "mask")).alias("found"))
+    # equal rows of one id find the same; written, for the same reason
+    found = K.stored(found.groupBy("doc").agg(F.collect_set(F.struct("pos", "mask")).alias("found")), "found", folder)
+    for done in ("least", "hits") if any_hot else ():
+        K.remove(spark, f"{folder}/{done}")
+    return found
 
 
 def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -312,9 +322,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     found = repeated_words(docs, window, id_col, text_col)
     others = [f for f in docs.schema.fields if f.name not in (text_col, "n_words", "n_removed")]
     schema = T.StructType([*others, T.StructField(text_col, T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    columns = [F.col(f"d.`{f.name}`") for f in others]
-    joined = docs.alias("d").join(found.alias("f"), F.col(f"d.`{id_col}`") == F.col("f.doc"), "left")
-    joined = joined.select(*columns, F.col(f"d.`{text_col}`").alias("riskloom text"), F.col("f.found.pos").alias("riskloom pos"), F.col("f.found.mask").alias("riskloom mask"))
+    own = docs.select(*K.positional(others), F.col(f"`{text_col}`").alias("riskloom text"), F.col(f"`{id_col}`").cast("long").alias("doc"))
+    joined = own.join(found, "doc", "left").select(*own.columns[:-1], F.col("found.pos").alias("riskloom pos"), F.col("found.mask").alias("riskloom mask"))
 
     def cut(batches):
         for batch in batches:
@@ -328,7 +337,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
                 at = p.flatten().to_numpy().astype(np.int64) + np.repeat(first[:-1], sizes)
                 bits = m.flatten().to_numpy()
                 steps = np.zeros(len(starts) + 1, np.int64)
-                for i in range(window):  # a span has at most window - ANCHOR_WORDS + 1 windows
+                for i in range(min(window, SPAN_WINDOWS)):
                     begin = at[(bits >> i) & 1 == 1] + i
                     np.add.at(steps, begin, 1)
                     np.add.at(steps, begin + window, -1)
@@ -341,6 +350,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
 
 
 def query(spark, sf_dir):
+    """Digests of all texts without repeated 13-word windows; odd texts as in remove_repeats()."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 

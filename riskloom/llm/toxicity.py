@@ -2,8 +2,9 @@
 
 Features: which of 2**FEATURE_BITS hashed words (small letters, without the marks around them) and word beginnings of
 PREFIX_BYTES bytes a document has.
-Grades: 0 not toxic, 1 toxic, 2 severely toxic.  The labels say only toxic or not; a toxic document is severe if the number
-of its different words that speak for toxicity in the labelled sample is above the sample's median of toxic documents.
+Grades: 0 not toxic, 1 toxic, 2 severely toxic.  The labels say only toxic or not.  The second step is therefore derived, not
+observed: a toxic document is severe if the number of its different words that speak for toxicity in the labelled sample is
+above the sample's median of toxic documents.  Held-out labels can confirm p_toxic; p_severe only repeats this rule.
 Model: P(grade <= j) = sigmoid(threshold_j - w . x), one weight vector for all ordered thresholds, fitted by proximal
 gradient with an L1 term and weights of 0 or more on a bounded sample of labelled documents (SAMPLE_ROWS, taken by hash of the id, half of it from each
 label at most).  Scoring covers every document: expected severity is the sum of P(grade > j).
@@ -32,8 +33,6 @@ L1_SIGMAS = 0.5
 LEAST_ROWS = 3
 #: Standard deviations by which a feature must be more frequent in toxic rows to enter the fit.
 SCREEN_SIGMAS = 3.5
-#: Features of a document that the fit uses at most a sample row; longer documents give a hashed subset of their words.
-SAMPLE_FEATURES = 4000
 TOXIC_FROM = 0.5
 
 
@@ -48,8 +47,8 @@ def _features(data, offsets):
     return key >> FEATURE_BITS, key & ((1 << FEATURE_BITS) - 1), np.diff(first)
 
 
-def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str):
-    """Features of the labelled sample as (row starts, feature ids, words, label)."""
+def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """(y, features, words) of the labelled sample, written; features: sorted numbers of 32 bits."""
     own = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y")).filter("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
     picked = own.filter("y = 1").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS // 2).unionByName(own.filter("y = 0").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS // 2))
 
@@ -57,30 +56,49 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
         for batch in batches:
             for lo, hi, data, offsets in K.blocks(batch.column(1)):
                 doc, feature, words = _features(data, offsets)
-                part = np.searchsorted(doc, np.arange(hi - lo + 1))
-                rows = [np.sort(feature[a:b][np.argsort(K.mix(feature[a:b].astype(np.uint64)))[:SAMPLE_FEATURES]]) for a, b in zip(part[:-1], part[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([r.astype(np.int32).tobytes() for r in rows], pa.binary()), pa.array(words)], ["y", "features", "words"])
+                parts = np.split(feature.astype(np.int32), np.searchsorted(doc, np.arange(1, hi - lo)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), K.binaries(parts), pa.array(words)], ["y", "features", "words"])
 
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     # the sample is bounded: broadcasting it leaves the texts where they are
-    rows = F.broadcast(picked).join(texts, "id").select("y", "text").mapInArrow(take, "y int, features binary, words long").collect()
-    rows.sort(key=lambda r: (r.y, bytes(r.features)))
-    feature = [np.frombuffer(r.features, np.int32) for r in rows]
-    start = np.concatenate([[0], np.cumsum([len(f) for f in feature])]).astype(np.int64)
-    return start, np.concatenate(feature) if feature else np.zeros(0, np.int32), np.array([r.words for r in rows], np.int64), np.array([r.y for r in rows], np.int64)
-
-
-def _grades(start, feature, words, toxic):
-    """0, 1 or 2 for each sample row."""
-    row = np.repeat(np.arange(len(words)), np.diff(start))
-    size = 1 << FEATURE_BITS
-    hits = [np.bincount(feature[toxic[row] == y], minlength=size) for y in (0, 1)]
-    n = [max(1, int((toxic == y).sum())) for y in (0, 1)]
-    speaks = np.log((hits[1] + 0.5) / (n[1] + 1)) - np.log((hits[0] + 0.5) / (n[0] + 1))
-    strong = (speaks > 2) & (hits[1] >= 5)
-    number = np.bincount(row, weights=strong[feature], minlength=len(words))
-    middle = np.median(number[toxic == 1]) if (toxic == 1).any() else 0.0
-    return np.where(toxic == 1, 1 + (number > middle), 0)
+    return K.stored(F.broadcast(picked).join(texts, "id").select("y", "text").mapInArrow(take, "y int, features binary, words long"), "sample")
+
+
+def _counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows by label; rows with each feature, by label; and the labels of all rows in the order of ordered()."""
+    hits, labels = np.zeros((2, 1 << FEATURE_BITS), np.int64), []
+    for r in ordered(sample):
+        hits[r.y, np.frombuffer(r.features, np.int32)] += 1
+        labels.append(r.y)
+    labels = np.array(labels, np.int64)
+    return np.bincount(labels, minlength=2), hits, labels
+
+
+def ordered(sample: DataFrame):
+    """The rows one after another, in an order that does not depend on the cluster; at most SAMPLE_ROWS."""
+    return sample.orderBy("y", F.xxhash64("features"), "features").toLocalIterator()
+
+
+def _telling(n: np.ndarray, hits: np.ndarray) -> np.ndarray:
+    """Whether each feature speaks for toxicity strongly: the severity rule counts these."""
+    speaks = np.log((hits[1] + 0.5) / (max(1, n[1]) + 1)) - np.log((hits[0] + 0.5) / (max(1, n[0]) + 1))
+    return (speaks > 2) & (hits[1] >= 5)
+
+
+def _grades(toxic: np.ndarray, strong: np.ndarray) -> np.ndarray:
+    """0, 1 or 2 for each sample row, from its label and its number of strongly telling words."""
+    middle = np.median(strong[toxic == 1]) if (toxic == 1).any() else 0.0
+    return np.where(toxic == 1, 1 + (strong > middle), 0)
+
+
+def _screened(n: np.ndarray, hits: np.ndarray) -> np.ndarray:
+    """Features that enter the fit: found in LEAST_ROWS rows, and more frequent in toxic ones by SCREEN_SIGMAS."""
+    if not n.all():
+        return np.zeros(hits.shape[1], bool)
+    every = hits.sum(0)
+    share = every / n.sum()
+    apart = hits[1] / n[1] - hits[0] / n[0]
+    return (every >= LEAST_ROWS) & (apart > SCREEN_SIGMAS * np.sqrt(share * (1 - share) * (1 / n[0] + 1 / n[1])))
 
 
 def _sigmoid(x):
@@ -96,13 +114,6 @@ def fit_ordinal(start: np.ndarray, feature: np.ndarray, grade: np.ndarray, size:
     if not 0 < (grade > 0).sum() < n:
         return w, cuts
     row = np.repeat(np.arange(n), np.diff(start))
-    bad = np.bincount(feature[grade[row] > 0], minlength=size)
-    every = np.bincount(feature, minlength=size)
-    n1 = int((grade > 0).sum())
-    share = every / n
-    apart = bad / n1 - (every - bad) / (n - n1)
-    keep = (every >= LEAST_ROWS) & (apart > SCREEN_SIGMAS * np.sqrt(share * (1 - share) * (1 / n1 + 1 / (n - n1))))
-    row, feature = row[keep[feature]], feature[keep[feature]]
     # each grade counts alike, so that rare grades move the weights too
     per = np.maximum(np.bincount(grade, minlength=grades), 1)
     mass = 1 / per[grade] / len(np.unique(grade))
@@ -149,11 +160,21 @@ def calibrate(start, feature, grade, weights: np.ndarray, cuts: np.ndarray, mass
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
-    start, feature, words, toxic = _sample(docs, labels, id_col, text_col, label_col)
-    grade = _grades(start, feature, words, toxic)
+    """Weights and thresholds.  Every word of every sampled document counts; the driver keeps the features that pass the screen."""
+    sample = _sample(docs, labels, id_col, text_col, label_col)
+    n, hits, toxic = _counts(sample)
+    telling, keep = _telling(n, hits), _screened(n, hits)
+    strong, parts = np.zeros(len(toxic)), []
+    for i, r in enumerate(ordered(sample)):
+        feature = np.frombuffer(r.features, np.int32)
+        strong[i] = telling[feature].sum()
+        parts.append(feature[keep[feature]])
+    start = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
+    feature = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    grade = _grades(toxic, strong)
     weights, cuts = fit_ordinal(start, feature, grade, 1 << FEATURE_BITS)
     share = labels.filter(F.col(f"`{label_col}`").isin(0, 1)).agg(F.avg(F.col(f"`{label_col}`"))).first()[0] or 0.0
-    n = np.maximum(np.bincount(toxic, minlength=2), 1)
+    n = np.maximum(n, 1)
     return calibrate(start, feature, grade, weights, cuts, np.where(toxic == 1, share / n[1], (1 - share) / n[0]))
 
 
@@ -161,7 +182,9 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], id_col: str = "
     """(id, p_toxic, p_severe, expected_severity, grade, is_toxic) of every row.
 
     grade is the most probable one (the lower one at a tie); is_toxic: expected_severity >= TOXIC_FROM.  A null or empty text
-    has no features and severity 0.  Equal texts get equal scores; an empty table gives an empty table.  The model has
+    has no features and severity 0.  Equal texts get equal scores; rows with null or repeated ids each have a row, and a label
+    without an id is not used; an id with several labels counts as toxic if one of them says so; without documents or labels
+    of both kinds all weights are 0; an empty table gives an empty table.  The model has
     2**FEATURE_BITS weights whatever the input, and is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model[0].astype(np.float32), model[1]))
@@ -184,5 +207,6 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], id_col: str = "
 
 
 def query(spark, sf_dir):
+    """Every document scored by a model of the labelled sample; odd texts as in score()."""
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     return score(docs, fit(docs, labels))

@@ -1,12 +1,12 @@
 """Training-order materialisation: every fixed-length token sequence gets a global slot, and slots become binary shards.
 
-Tokens are the UTF-8 bytes of a text as unsigned 8-bit ids; END (0xFF) closes a document and PAD (0xFE) fills its last
-sequence (neither byte occurs in UTF-8).  Sequences are numbered by document id, hash of the text, text and place, 0..N-1
-(documents without an id come last); a keyed Feistel
-network permutes the numbers, walking its cycle while a value falls outside 0..N-1, so slots are a permutation of
-0..N-1 that any reader can recompute from (key, N).  A shard holds SHARD_SEQUENCES consecutive slots at a fixed stride:
-slot s lies at byte (s % SHARD_SEQUENCES) * length of shard s // SHARD_SEQUENCES, so reading is sequential and can resume
-at any slot.
+Token ids have 1, 2 or 4 bytes, little-endian: a text gives its UTF-8 bytes as 8-bit ids, a binary column is taken as ids
+already (those of pieces.encode_documents have 4 bytes).  The two greatest ids of the width are taken: END closes a document and
+PAD fills its last sequence (0xFF and 0xFE, which do not occur in UTF-8).  Sequences are numbered by document id, hash of the
+text, text and place, 0..N-1 (documents without an id come last); a keyed Feistel network permutes the numbers, walking its
+cycle while a value falls outside 0..N-1, so slots are a permutation of 0..N-1 that any reader can recompute from (key, N).
+A shard holds SHARD_SEQUENCES consecutive slots at a fixed stride: slot s lies at byte (s % SHARD_SEQUENCES) * stride of shard
+s // SHARD_SEQUENCES, so reading is sequential and can resume at any slot.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 
-END, PAD = 0xFF, 0xFE
 LENGTH = 1024
 SHARD_SEQUENCES = 2048
 ROUNDS = 6
@@ -58,7 +57,16 @@ def feistel_inverse(slot: np.ndarray, total: int, key: int) -> np.ndarray:
     return value.astype(np.int64)
 
 
-def _ranged(docs: DataFrame, length: int) -> tuple[DataFrame, dict[int, int], int]:
+def _place_in(bounds: list[int], value):
+    """How many of the ordered bounds are not above a value, by binary search."""
+    if not bounds:
+        return F.lit(0)
+    edges, n = F.array(*map(F.lit, bounds)), len(bounds)
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(n.bit_length()))))
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= n) & (F.get(edges, at + step - 1) <= value), at + step).otherwise(at))
+
+
+def _ranged(docs: DataFrame, length: int, token_bytes: int) -> tuple[DataFrame, dict[int, int], int]:
     """The documents in ranges of ids, sorted within (null ids in ranges of their texts' hashes); the number of each range's first sequence; the number of all.
 
     Ranges come from quantiles of the ids (bounded by the number of partitions) and sums by range, so that the texts are
@@ -67,29 +75,34 @@ def _ranged(docs: DataFrame, length: int) -> tuple[DataFrame, dict[int, int], in
     spark = docs.sparkSession
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bounds = sorted({int(x) for x in docs.approxQuantile("id", [i / parts for i in range(1, parts)], 0.1 / parts)})
-    held = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("id"))) if bounds else F.lit(0)
     digest = F.xxhash64("text")
-    docs = docs.withColumn("range", F.when(F.col("id").isNull(), parts + F.pmod(digest, F.lit(parts)).cast("int")).otherwise(held)).withColumn("digest", digest)
-    sums = docs.groupBy("range").agg(F.sum(F.ceil((F.octet_length("text") + 1) / length)).cast("long").alias("n")).collect()
+    docs = docs.withColumn("range", F.when(F.col("id").isNull(), parts + F.pmod(digest, F.lit(parts)).cast("int")).otherwise(_place_in(bounds, F.col("id")))).withColumn("digest", digest)
+    sums = docs.groupBy("range").agg(F.sum(F.ceil((F.octet_length("text") / token_bytes + 1) / length)).cast("long").alias("n")).collect()
     first, total = {}, 0
     for r in sorted(sums):
         first[r.range], total = total, total + r.n
     return docs.repartitionById(parts, "range").sortWithinPartitions("range", "id", "digest", "text"), first, total
 
 
-def materialise(docs: DataFrame, length: int = LENGTH, shard_sequences: int = SHARD_SEQUENCES, key: int = 20240101, id_col: str = "doc_id", text_col: str = "text", repeated: bool = False) -> DataFrame:
+def materialise(
+    docs: DataFrame, length: int = LENGTH, shard_sequences: int = SHARD_SEQUENCES, key: int = 20240101, id_col: str = "doc_id", text_col: str = "text", repeated: bool = False, token_bytes: int = 1
+) -> DataFrame:
     """One row a shard: (shard, first_slot, n_sequences, length, total, doc_ids, places, payload).
 
-    payload: the sequences of slots first_slot .. first_slot + n_sequences - 1 one after another, `length` bytes each;
-    doc_ids and places: where each comes from.  A null or empty text has no sequence; longer texts have as
+    payload: the sequences of slots first_slot .. first_slot + n_sequences - 1 one after another, `length` ids of `token_bytes`
+    bytes each; doc_ids and places: where each comes from.  A null or empty text has no sequence; longer texts have as
     many as they need.  A row with a null id has its sequences like others, with a null in doc_ids.  repeated: rows that
     share an id each have their own sequences, in the order of their texts' hashes, then texts (equal rows are interchangeable);
     without it they are refused.  An empty table gives no rows.
     """
+    if token_bytes not in (1, 2, 4):
+        raise ValueError("ids have 1, 2 or 4 bytes")
     spark = docs.sparkSession
-    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).filter("text <> ''")
-    ranged, base, total = _ranged(own, length)
+    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).filter("octet_length(text) > 0")
+    ranged, base, total = _ranged(own, length, token_bytes)
     shards = max(1, -(-total // shard_sequences))
+    kind, stride = np.dtype(f"<u{token_bytes}"), length * token_bytes
+    end, pad = np.iinfo(kind).max, np.iinfo(kind).max - 1
 
     def cut(batches):
         done, last = dict(base), None
@@ -101,7 +114,9 @@ def materialise(docs: DataFrame, length: int = LENGTH, shard_sequences: int = SH
                     raise ValueError("several rows have the same id")
                 last = held[-1] if len(held) else last
             for lo, hi, data, offsets in K.blocks(batch.column(1)):
-                size = np.diff(offsets)
+                size = np.diff(offsets) // token_bytes
+                if len(data) != int(size.sum()) * token_bytes:
+                    raise ValueError(f"a row's ids are not whole numbers of {token_bytes} bytes")
                 n = -(-(size + 1) // length)
                 begin = np.cumsum(n) - n
                 firsts = np.zeros(hi - lo, np.int64)
@@ -109,13 +124,13 @@ def materialise(docs: DataFrame, length: int = LENGTH, shard_sequences: int = SH
                     own = ranges[lo:hi] == r
                     firsts[own] = done[r] + np.cumsum(n[own]) - n[own]
                     done[r] += int(n[own].sum())
-                out = np.full(int(n.sum()) * length, PAD, np.uint8)
+                out = np.full(int(n.sum()) * length, pad, kind)
                 to, _ = K.span_index(begin * length, size)
-                out[to] = data
-                out[begin * length + size] = END
+                out[to] = np.frombuffer(data.tobytes(), kind)
+                out[begin * length + size] = end
                 index, place = K.span_index(firsts, n)
                 slot = feistel(index, total, key)
-                stops = np.arange(len(slot) + 1, dtype=np.int64) * length
+                stops = np.arange(len(slot) + 1, dtype=np.int64) * stride
                 tokens = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(slot), [None, pa.py_buffer(stops), pa.py_buffer(out)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array((slot // shard_sequences).astype(np.int32)), pa.array(slot), ids.take(pa.array(np.repeat(np.arange(lo, hi), n))), pa.array(place), tokens], ["shard", "slot", "id", "place", "tokens"])
 
@@ -150,8 +165,10 @@ def write_shards(shards: DataFrame, folder: str) -> DataFrame:
     """Write each shard of materialise() as <folder>/shard-<number>.bin; returns (shard, n_sequences, path, sha256).
 
     A file appears under its name only when it is whole, and equal rows write equal files, so a task that runs again does
-    no harm and a job that stopped can be run again.  The folder is a URI that all executors reach.
+    no harm and a job that stopped can be run again.  The folder is a URI that all executors reach, of a store that Arrow
+    knows (file, hdfs, s3 or s3a, gs, abfs).
     """
+    folder = "s3" + folder[3:] if folder.startswith("s3a:") else folder
 
     def write(batches):
         from pyarrow import fs
@@ -171,4 +188,5 @@ def write_shards(shards: DataFrame, folder: str) -> DataFrame:
 
 
 def query(spark, sf_dir):
+    """All shards of the documents' bytes; odd texts and ids as in materialise(), repeated ids with sequences of their own."""
     return materialise(spark.read.parquet(f"{sf_dir}/documents.parquet"), repeated=True).withColumn("payload_sha256", F.sha2("payload", 256))

@@ -1,9 +1,13 @@
 """Benchmark decontamination by template windows.
 
 1. Words lose the marks around them and their case; numbers, names (capitals inside a sentence) and units after numbers
-   become typed placeholders; a capitalised word that opens a sentence counts both as itself and as a name.  Every WINDOW consecutive tokens of a benchmark item with enough literal words give a window hash, and all give one of the words as they are.
+   become typed placeholders; a capitalised word that opens a sentence counts both as itself and as a name.  Every WINDOW
+   consecutive tokens of a benchmark item with enough literal words give a window hash, and all give one of the words as
+   they are.
 2. A bitmap of these hashes, of fixed size, lets tasks keep only the document windows that may match; these are hash-joined
-   with the item windows.
+   with the item windows.  An item is looked for by its telling positions only: all but the most frequent ones, as long as
+   those cover less than COVERAGE of it together, for a document without a telling position cannot cover enough.  So a phrase
+   that many items and many documents share makes no pairs.
 3. Each occurrence in a document is judged by the share of the item's tokens that its windows cover, and by its own slots: a
    slot of the item has one value in an occurrence.  An occurrence is a run of windows at one distance from the item's
    positions, alone or with its neighbours up to SHIFT tokens away (words put in or left out).  The document's windows are
@@ -126,6 +130,29 @@ def _document_windows(docs: DataFrame, maps) -> DataFrame:
     return docs.mapInArrow(cut, "hash long, doc long, place long, width long, values array<string>, doc_way long")
 
 
+def _telling(used: DataFrame) -> DataFrame:
+    """(item, pos): the positions by which each item is looked for; used: (item, pos, width, tokens, f), f documents' windows."""
+
+    def choose(key, table):
+        pos, width, f = (table[c].to_numpy() for c in ("pos", "width", "f"))
+        places, where = np.unique(pos, return_inverse=True)
+        often = np.bincount(where, weights=f)
+        wide = np.zeros(len(places), np.int64)
+        np.maximum.at(wide, where, width)
+        covered, left = np.zeros(int((places + wide).max()), bool), []
+        enough = COVERAGE * int(table["tokens"].to_numpy().min())
+        order = np.lexsort((places, -often))
+        for n, i in enumerate(order.tolist()):
+            covered[places[i] : places[i] + wide[i]] = True
+            if covered.sum() >= enough:
+                left = order[n:]
+                break
+        return pa.table({"item": pa.array([key[0].as_py()] * len(left), pa.int64()), "pos": pa.array(places[left] if len(left) else [], pa.int64())})
+
+    # an item's windows are bounded by its length
+    return used.select("item", "pos", "width", "tokens", "f").groupBy("item").applyInArrow(choose, "item long, pos long")
+
+
 def _judged(groups: DataFrame, by: str) -> DataFrame:
     """(doc, item, tokens, covered, n_slots, n_changed) of groups of windows that cover enough, with consistent slots.
 
@@ -146,21 +173,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     covered: tokens of the item in matched windows; n_slots: different slot values of the item in these windows;
     n_changed: those that have another value in the document (0: a plain copy; more: a re-parameterised one); all of the
     occurrence that covers most (then the one with fewest changes).  A pair is returned if, in any occurrence, covered >=
-    COVERAGE * tokens and no slot of the item meets two different values; or if that holds for the document's windows together and no value of the item meets two different values that are both
-    absent from the item.  Null or empty texts and items, and rows with null ids, match nothing; equal documents and equal
-    items each give their own rows; empty tables give no rows.
+    COVERAGE * tokens and no slot of the item meets two different values; or if that holds for the document's windows together
+    and no value of the item meets two different values other than itself.  Null or empty texts and items, and rows with
+    null ids, match nothing; equal documents and equal items each give their own rows, and rows that share an id are one
+    document, or one item; empty tables give no rows.
     """
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text")).filter("doc is not null and text is not null")
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item"), F.col(f"`{item_text_col}`").alias("text")).filter("item is not null and text is not null")
     spark = docs.sparkSession
-    windows = K.stored(_item_windows(items), "items")
+    folder = K.shared_folder(spark)
+    windows = K.stored(_item_windows(items), "items", folder)
     maps = spark.sparkContext.broadcast(_bitmap(windows))
+    # written tables on both sides of every join: adaptive execution can then split a window, item or document that very many rows have
+    held = K.stored(_document_windows(own, maps), "windows", folder)
+    often = K.stored(held.groupBy("hash", "width").agg(F.count(F.lit(1)).alias("f")), "often", folder)
+    used = K.stored(windows.join(often, ["hash", "width"]), "used", folder)
+    telling = K.stored(used.join(_telling(used), ["item", "pos"], "left_semi").select("hash", "width", "item").distinct(), "telling", folder)
+    found = K.stored(held.select("hash", "width", "doc").join(telling, ["hash", "width"]).select("doc", "item").distinct(), "found", folder)
+    own_windows = K.stored(found.join(used.drop("f"), "item"), "own", folder)
     pairs = F.transform(F.arrays_zip("places", "slots", "values"), lambda x: F.struct(x["places"].alias("place"), x["slots"].alias("a"), x["values"].alias("b")))
-    hits = _document_windows(own, maps).join(windows, ["hash", "width"]).select("doc", "item", "pos", "width", "tokens", (F.col("place") - F.col("pos")).alias("shift"), pairs.alias("pairs"), ((F.col("way") == 0) & (F.col("doc_way") == 0)).alias("plain"))
-    hits = K.stored(hits, "hits")  # read several times below, and small beside the texts
+    hits = held.join(own_windows, ["doc", "hash", "width"]).select("doc", "item", "pos", "width", "tokens", (F.col("place") - F.col("pos")).alias("shift"), pairs.alias("pairs"), ((F.col("way") == 0) & (F.col("doc_way") == 0)).alias("plain"))
+    hits = K.stored(hits, "hits", folder)  # read several times below, and small beside the texts
+    for done in ("items", "windows", "often", "used", "telling", "found", "own"):
+        K.remove(spark, f"{folder}/{done}")
     spot = F.struct("pos", "width")
     # a distance's lists are bounded by the item's length, and those of neighbours by SHIFT times that
-    runs = hits.groupBy("doc", "item", "shift").agg(F.first("tokens").alias("tokens"), F.collect_set(spot).alias("at"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
+    runs = hits.groupBy("doc", "item", "shift").agg(F.min("tokens").alias("tokens"), F.collect_set(spot).alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     near = Window.partitionBy("doc", "item").orderBy("shift").rangeBetween(-SHIFT, SHIFT)
     joint = runs.select("doc", "item", "tokens", F.array_distinct(F.flatten(F.collect_list("at").over(near))).alias("at"), F.array_distinct(F.flatten(F.collect_list("pairs").over(near))).alias("pairs"))
     # one row for each (document, item, position) before the pairs are gathered: lists are bounded by the item's length
@@ -168,7 +206,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     def together(hits):
         best = hits.groupBy("doc", "item", "pos", "width", "tokens").agg(F.max_by("pairs", alike).alias("pairs"))
-        return best.groupBy("doc", "item").agg(F.first("tokens").alias("tokens"), F.collect_list(spot).alias("at"), F.array_distinct(F.flatten(F.collect_list(F.transform("pairs", lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b")))))).alias("pairs"))
+        return best.groupBy("doc", "item").agg(F.min("tokens").alias("tokens"), F.collect_list(spot).alias("at"), F.array_distinct(F.flatten(F.collect_list(F.transform("pairs", lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b")))))).alias("pairs"))
 
     # the plain templates also by themselves: other windows' values must not speak against a pair that these show
     every = _judged(runs, "place").unionByName(_judged(joint, "place"))
@@ -179,4 +217,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def query(spark, sf_dir):
+    """All pairs of a document and a benchmark item that it holds; odd texts and ids as in contaminated()."""
     return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

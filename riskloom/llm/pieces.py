@@ -254,7 +254,7 @@ def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", w
     names = {f.name for f in made}
     others = [f for f in docs.schema.fields if f.name not in names]
     schema = T.StructType([*others, *made])
-    source = [F.col(f"`{f.name}`") for f in others] + [F.col(f"`{text_col}`").alias("riskloom text")]
+    source = [*K.positional(others), F.col(f"`{text_col}`").alias("riskloom text")]
 
     def run(batches):
         vocab = vocabulary(model.value)
@@ -286,5 +286,6 @@ def default_model() -> str:
 
 
 def query(spark, sf_dir):
+    """Ids and decoded texts of all documents, as digests; odd texts as in encode_documents()."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return encode_documents(docs, default_model(), with_ids=False).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

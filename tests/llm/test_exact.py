@@ -50,6 +50,24 @@ def test_substring_dedup(spark, sf, texts, odd):
         assert got == want
 
 
+@pytest.mark.parametrize("window", [1, 4, 36, 45])
+def test_substring_dedup_with_other_windows(odd, window):
+    docs, df = odd
+    got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substring_dedup.remove_repeats(df, window).collect()}
+    assert got == R.substring_dedup(docs, window)
+    with pytest.raises(ValueError, match="one word"):
+        substring_dedup.remove_repeats(df, 0)
+
+
+def test_substring_dedup_of_hot_windows(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT", 8)  # bitmaps are built on the driver's setting
+    passage = " ".join(f"p{i}" for i in range(30))
+    docs = {i: f"{' '.join(f'w{i}x{j}' for j in range(10))} {passage if i % 3 else passage[:80]} end{i}" for i in range(60)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substring_dedup.remove_repeats(df).collect()}
+    assert got == R.substring_dedup(docs)
+
+
 def test_suffix_automaton():
     a = substring_dedup.SuffixAutomaton()
     strings = {"abcabcd": 5, "xbcabq": 3, "cab": 1, "bcab": 9}
@@ -71,6 +89,32 @@ def test_jaccard_components(spark, sf, texts, odd, k, num, den):
         assert got == R.jaccard_components(docs, k, num, den)
 
 
+def test_jaccard_components_when_names_clash(odd):
+    docs, df = odd  # three bits: many sets have the first half of their digest in common
+    got = {r.id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(df, 5, 4, 5, name_bits=3).collect()}
+    assert got == R.jaccard_components(docs, 5, 4, 5)
+
+
+def test_jaccard_components_of_large_stars(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(jaccard_join, "TREE_SETS", 8)
+    monkeypatch.setattr(jaccard_join, "UNIT_SHINGLES", 400)
+    r, vocab = random.Random(5), [f"v{i}" for i in range(3000)]
+    say = lambda n: " ".join(r.choice(vocab) for _ in range(n))
+    passage, docs = say(30), {}
+    for base in range(4):  # families that share a passage, at different lengths
+        words = (passage + " " + say(20 + 5 * base)).split()
+        for _ in range(40):
+            w = list(words)
+            for _ in range(r.randrange(3)):
+                w[r.randrange(len(w))] = r.choice(vocab)
+            docs[len(docs)] = " ".join(w)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
+    got = {x.id: (x.n_shingles, x.component_id) for x in jaccard_join.jaccard_components(df, 3, 6, 10).collect()}
+    assert got == R.jaccard_components(docs, 3, 6, 10)
+
+
 def test_prefix_tree():
     r = np.random.default_rng(3)
     sets = [np.unique(r.integers(0, 60, r.integers(1, 40)).astype(np.uint64)) for _ in range(80)]
@@ -89,15 +133,35 @@ def test_components(spark):
 
 
 @pytest.mark.parametrize("least", [2, 10])
-def test_line_dedup(spark, sf, texts, odd, least):
+def test_line_dedup(spark, sf, texts, odd, least, monkeypatch):
+    monkeypatch.setattr(line_dedup, "PART_DOCS", 20)
     for df, docs in both(spark, sf, texts, odd):
         ids = sorted(docs)
         want = dict(zip(ids, R.line_dedup([docs[i] for i in ids], least), strict=True))
-        for limit in (32 << 20, 0):  # shards broadcast, and read from the shared folder
-            got = {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in line_dedup.drop_common_lines(df, least, broadcast_bytes=limit).collect()}
+        for limit, keys in ((32 << 20, 5), (0, 5), (0, 500_000)):  # shards broadcast, and probes sent to them; one shard, and many
+            got = {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in line_dedup.drop_common_lines(df, least, broadcast_bytes=limit, shard_keys=keys).collect()}
             assert got == want
 
 
+def test_line_dedup_keeps_any_column(spark):
+    rows = [(i, "same line\nown " + str(i), "a", 1.5, 3) for i in range(12)] + [(None, "same line", None, None, None)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, `te.xt` string, d1 string, `x y` double, drop int")
+    for limit in (32 << 20, 0):
+        out = line_dedup.drop_common_lines(df, 10, "te.xt", broadcast_bytes=limit)
+        assert out.columns == ["doc_id", "d1", "x y", "drop", "te.xt", "n_lines", "n_dropped"]
+        out = out.select("doc_id", "d1", "`x y`", "drop", "`te.xt`", "n_lines", "n_dropped")
+        got = sorted((tuple(r) for r in out.collect()), key=str)
+        assert got == sorted(((i, a, x, d, t.removeprefix("same line").removeprefix("\n"), t.count("\n") + 1, 1) for i, t, a, x, d in rows), key=str)
+
+
+def test_columns_of_any_name(spark):
+    rows = [(1, "one two three " * 6, "a", "b"), (2, "one two three " * 6, None, "c"), (None, None, "d", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string, `riskloom 0` string")
+    for out in (substring_dedup.remove_repeats(df), pieces.encode_documents(df, pieces.default_model())):
+        got = [tuple(r) for r in out.select("doc_id", "`a.b`", "`riskloom 0`").collect()]
+        assert sorted(got, key=str) == sorted(((i, a, b) for i, _, a, b in rows), key=str)
+
+
 def test_perfect_hash():
     r = np.random.default_rng(1)
     keys = np.unique(r.integers(0, 2**63, 20000).astype(np.uint64))
@@ -175,6 +239,24 @@ def test_training_order_of_repeated_and_null_ids(spark, tmp_path):
     assert sum(r.n_sequences for r in training_order.query(spark, str(tmp_path)).collect()) == 6  # the query itself does not refuse
 
 
+def test_training_order_of_token_ids(spark, odd):
+    docs, df = odd
+    encoded = pieces.encode_documents(df.select("doc_id", "text"), pieces.default_model()).select("doc_id", "ids").cache()
+    rows = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4") for r in encoded.collect()}
+    got = {}
+    for r in training_order.materialise(encoded, 32, 50, 9, text_col="ids", token_bytes=4).collect():
+        part = np.frombuffer(bytes(r.payload), "<u4").reshape(-1, 32)
+        assert len(part) == r.n_sequences
+        for i, place, ids in zip(r.doc_ids, r.places, part, strict=True):
+            got.setdefault(i, {})[place] = ids
+    assert set(got) == set(rows)
+    for i, ids in rows.items():
+        whole = np.concatenate([got[i][k] for k in range(len(got[i]))])
+        assert whole[: len(ids)].tolist() == ids.tolist() and whole[len(ids)] == 2**32 - 1 and (whole[len(ids) + 1 :] == 2**32 - 2).all()
+    with pytest.raises(Exception, match="whole numbers"):
+        training_order.materialise(spark.createDataFrame([(1, bytearray(b"abc"))], "doc_id long, ids binary"), text_col="ids", token_bytes=2).collect()
+
+
 def test_license_scan(spark):
     lines = ["Released under the MIT License.", "released UNDER -- the MIT license", "Released under the MIT", None, "", "x", "This work is licensed under the GNU General Public License,\nversion 3.", "Licensed under CC BY-NC 4.0."]
     rows = license_scan.scan(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
@@ -240,6 +322,75 @@ def test_decontamination_finds_exact_copies_of_few_words(spark):
     assert set(pairs_found(spark, docs, items)) == {(0, 0), (1, 1)}
 
 
+def reparameterised(r, item):
+    """The item with other numbers, each value replaced by one new value."""
+    import re
+
+    new = {}
+    return re.sub(r"\d+", lambda m: new.setdefault(m[0], str(r.randrange(100, 999))), item)
+
+
+def test_decontamination_recall_on_reparameterised_items(spark):
+    import random
+
+    r = random.Random(4)
+    words = [f"{a}{b}" for a in ("br", "kl", "st", "tr", "pl", "gr") for b in ("ame", "ode", "int", "ulk", "est", "arn", "ool")]
+    items = []
+    for _ in range(60):
+        w = [r.choice(words) for _ in range(r.randrange(14, 40))]
+        for _ in range(r.randrange(1, 4)):
+            w[r.randrange(len(w))] = str(r.randrange(2, 90))
+        items.append(" ".join(w))
+    filler = lambda n: " ".join(r.choice(words) for _ in range(n))
+    docs, want = [], set()
+    for i, item in enumerate(items):
+        want.add((len(docs), i))
+        docs.append(f"{filler(20)} {reparameterised(r, item)} {filler(9)} {reparameterised(r, item)}")  # two instances
+        want.add((len(docs), i))
+        docs.append(f"{filler(5)} {item}")
+        docs.append(filler(60))
+    got = set(pairs_found(spark, docs, items))
+    assert len(want & got) >= 0.95 * len(want) and len(got - want) <= 1
+
+
+def test_decontamination_of_shared_phrases(spark):
+    """A phrase that all items and many documents share finds nothing by itself, and hides nothing."""
+    phrase = "read the following text and answer the question in one short word please"
+    own = [" ".join(f"{a}{i}{b}" for b in "abcdefghijklmnop") for i, a in enumerate(["ka", "mo", "ti", "su"] * 5)]
+    items = [f"{phrase} {o}" for o in own]
+    docs = [phrase] * 30 + [f"{phrase} {o}" for o in own] + [o for o in own]
+    got = set(pairs_found(spark, docs, items))
+    assert got == {(30 + i, i) for i in range(20)} | {(50 + i, i) for i in range(20)}
+
+
+def test_decontamination_odd_input(spark, odd):
+    docs, df = odd
+    item = docs[8]
+    long = " ".join(f"x{i}" for i in range(60_000))
+    rows = [(i, t, "clash") for i, t in docs.items()] + [(None, item, None), (900, long + " " + item, "c"), (901, item, "c"), (901, item, "c")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, hash string").repartition(3)
+    b = spark.createDataFrame([(1, item), (1, item), (2, item), (3, None), (4, ""), (5, "..."), (None, item)], "item_id long, text string")
+    out = decontaminate.contaminated(d, b).collect()
+    got = {(r.doc_id, r.item_id) for r in out}
+    same = {i for i, t in docs.items() if t and item.lower() in " ".join(t.lower().split())}
+    assert len(out) == len(got) and {(i, j) for i in same | {900, 901} for j in (1, 2)} <= got and {j for _, j in got} == {1, 2}
+
+
+def test_license_scan_odd_input(spark):
+    notice = "Released under the MIT License."
+    long = ("word " * 50_000) + "\n" + notice
+    rows = [(None, notice, "a"), (None, None, "b"), (1, notice, None), (1, notice, None), (2, long, "c"), (3, "\n".join([notice] * 3), "d"), (4, "", "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, license string")
+    got = [(r.doc_id, r.block, r.license, r.dice) for r in license_scan.scan(df).collect()]
+    lines = [(i, b, n, dice) for i, b, n, dice in got if not b.startswith("p")]
+    assert sorted(lines, key=str) == sorted([(None, "0", "MIT", 1.0), (1, "0", "MIT", 1.0), (1, "0", "MIT", 1.0), (2, "1", "MIT", 1.0), *((3, str(i), "MIT", 1.0) for i in range(3))], key=str)
+    assert {i for i, b, _, _ in got if b.startswith("p")} == {3}
+    whole = {(r.doc_id, r.license) for r in license_scan.scan_all(df).collect()}
+    assert whole == {(None, "MIT"), (1, "MIT"), (2, "MIT"), (3, "MIT")}
+    tie = license_scan.scan(df.filter("doc_id = 1"), templates=[("ONE", notice), ("TWO", notice)]).collect()
+    assert {r.license for r in tie} == {"ONE"}
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_oracles(spark, sf, name):
     con = duckdb.connect()
@@ -270,3 +421,39 @@ def test_null_ids(spark):
     assert sorted((r.id, r.component_id) for r in jaccard_join.jaccard_components(df).collect()) == [(1, 1), (2, 1)]
     assert line_dedup.drop_common_lines(df, 4).filter(F.col("text") == "").count() == 4
     assert quality_rules.rate(df, ["doc_id"]).count() == 4
+    rows = pieces.encode_documents(df, pieces.default_model(), with_ids=False).collect()
+    assert len(rows) == 4 and len({r.ids_sha256 for r in rows}) == 1
+
+
+def test_quality_carries_any_column(spark):
+    rows = [(1, "some words here", "a", "b", 5, 7, "c"), (None, None, None, None, None, None, None)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, _words string, `a.b` string, n_lines_full int, N_WORDS int, carried string")
+    out = quality_rules.rate(df, df.columns).collect()
+    carried = [tuple(r[c] for c in ("doc_id", "text", "_words", "a.b", "n_lines_full", "carried")) for r in out]
+    assert sorted(carried, key=str) == sorted(((*r[:5], r[6]) for r in rows), key=str)
+    assert {r.n_words for r in out} == {3, 0} and not any(r.kept for r in out)
+    assert quality_rules.rate(df, []).count() == 4
+
+
+def test_folders_are_swept(spark, odd):
+    from pathlib import Path
+
+    K = jaccard_join.K
+    before = K.folders_made()
+    jaccard_join.jaccard_components(odd[1]).count()
+    made = [Path(f.removeprefix("file:")) for f in K._folders[before:]]
+    assert made and all(f.exists() for f in made)
+    K.sweep(spark, before)
+    assert not any(f.exists() for f in made) and K.folders_made() == before
+
+
+def test_clusters_need_a_shared_folder(spark):
+    class Conf:
+        def get(self, name, default=None):
+            return {"spark.master": "spark://somewhere:7077", "spark.sql.warehouse.dir": "file:/tmp/x"}.get(name, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        jaccard_join.K.shared_folder(Session())

@@ -1,7 +1,8 @@
 """The corpus pipeline: each stage takes (spark, docs, sf_dir) and returns what it keeps of docs.
 
-Every stage but the last returns the columns of documents.  Columns that clash with a stage's own are replaced; rows with a
-null doc_id are judged by their text alone where a stage can, and are neither compared with others nor dropped for it.
+Every stage but the last returns the columns of documents.  Other columns of the input do not come along.  Rows with a null
+doc_id are judged by their text alone: quality rules, line dedup and encoding treat them like others, near duplicates and
+decontamination leave them in.  Rows with a null text are dropped by the quality rules, as documents without words.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import decontaminate, jaccard_join, line_dedup as lines, pieces, quality_rules
-from riskloom.llm.kernel import shared_folder
+from riskloom.llm.kernel import folders_made, remove, shared_folder, sweep
 
 #: SQL cannot express the stages that learn or search (rule accuracies, similarity join, templates, subword merges).
 ORACLE_SQL = None
@@ -62,10 +63,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), shared_folder(spark)
+    """All stages over documents; each stage's rows are removed when the next one's are written, and so are its working tables."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for i, (name, stage) in enumerate(STAGES):
+        folder = shared_folder(spark)
+        made = folders_made()
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs.write.parquet(path := f"{folder}/{i}-{name}")
-            docs = spark.read.parquet(path)
+            sweep(spark, made)
+            if before:
+                remove(spark, before)
+            docs, before = spark.read.parquet(path), folder
     return docs

@@ -1,5 +1,7 @@
 """The pipeline's stages, each against brute force on its own input."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from riskloom.llm import pieces
 
@@ -42,3 +44,25 @@ def test_run_on_empty_documents(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert P.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_with_null_ids_and_texts(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    some = docs.limit(40)
+    extra = some.withColumn("doc_id", F.lit(None).cast("long")).unionByName(some.withColumn("text", F.lit(None).cast("string")))
+    rows = docs.unionByName(extra).withColumns({"hash": F.lit("clash"), "kept": F.lit(1)})
+    nulls = {"quality_rules": None, "line_dedup": 40, "jaccard_join": 40, "decontamination": 40, "pieces": 40}
+    for name, stage in P.STAGES:
+        out = stage(spark, rows, sf).select("doc_id", "text").collect()
+        found = sum(r.doc_id is None for r in out)
+        assert 0 < found <= 40 and nulls[name] in (None, found)
+        if name == "quality_rules":
+            assert all(r.text is not None for r in out)
+
+
+def test_run_removes_what_it_wrote(spark, sf):
+    K = pieces.K
+    before = K.folders_made()
+    rows = P.run(spark, sf).count()
+    assert rows > 0 and K.folders_made() - before <= 2  # the last stage's input, and its own folder
+    K.sweep(spark, before)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..operators import cards, catalogue, gold, matching, relevance, silver, validate
 
 
@@ -24,18 +25,28 @@ class Gold:
     status: str
 
 
-def recompute(events: DataFrame, mentions: DataFrame, labels: DataFrame, profiles: DataFrame, territories: DataFrame, since: str | None = None, only_user: str | None = None, relational: bool = False) -> Gold:
-    """Articles and links of all users, or what is new after `since`, or of one user."""
+def recompute(
+    events: DataFrame, mentions: DataFrame, labels: DataFrame, profiles: DataFrame, territories: DataFrame, since: str | None = None, only_user: str | None = None, relational: bool | None = None, folder: str | None = None
+) -> Gold:
+    """Articles and links of all users, or what is new after `since`, or of one user.
+
+    relational: match by joins (any number of users) or in one pass (few users); by default whichever the number of users
+    asks for.  What is matched is written to `folder`, or a working folder, once: articles and links are two reads of it.
+    """
     if since is not None and only_user is not None:
         raise ValueError("a run is for newer mentions or for one user, not both")
     if only_user is not None:
         profiles = profiles.filter(F.col("user_id") == only_user)
+    if relational is None:
+        relational = profiles.limit(matching.FEW_USERS + 1).count() > matching.FEW_USERS
+    folder = folder or storage.working_folder(events.sparkSession)
     every = catalogue.build(events, mentions, labels, since)
     if relational:
-        links = matching.match_relational(every, profiles, territories)
+        every = storage.stored(every, f"{folder}/catalogue")
+        links = storage.stored(matching.match_relational(every, profiles, territories), f"{folder}/links")
         return Gold(gold.matched_articles(every, links), links, "OK")
     # one pass gives both: matched rows are the articles, their users the links
-    matched = matching.matched_users(every, profiles, territories)
+    matched = storage.stored(matching.matched_users(every, profiles, territories), f"{folder}/matched")
     return Gold(matched.drop("users"), matched.select(F.explode("users").alias("user_id"), "doc_id", "global_event_id"), "OK")
 
 
@@ -76,3 +87,46 @@ def retention(events: DataFrame, mentions: DataFrame, g: Gold, tags: DataFrame,
     text = gone.select(F.col("GLOBALEVENTID").cast("string").alias("GLOBALEVENTID"))
     drop = lambda df: silver.drop_expired(df, text, "global_event_id")
     return silver.drop_expired(events, gone), silver.drop_expired(mentions, gone), Gold(drop(g.articles), drop(g.links), g.status), gold.drop_tags(tags, gone)
+
+
+def run_retention(spark, folder: str, today: str, run, days: int = 365) -> bool:
+    """run(cutoff) once a day: not if it has run today, and at the first call after days without one.  Returns whether it ran.
+
+    The day of the last run is kept in `folder`; run(cutoff) gets the 14-digit stamp of midnight `days` before `today`.
+    """
+    from datetime import date, timedelta
+
+    state = storage.State(spark, folder)
+    if state.load({"last": ""})["last"] >= today:
+        return False
+    run((date.fromisoformat(today) - timedelta(days=days)).strftime("%Y%m%d000000"))
+    state.save({"last": today})
+    return True
+
+
+def publish_gold(spark, g: Gold, root: str, as_of: str) -> str:
+    """Articles, links and status as one version of the serving store."""
+    status = spark.createDataFrame([(g.status,)], "status string")
+    return storage.publish(spark, {"articles": gold.article_rows(g.articles, as_of), "user_articles": gold.link_rows(g.links), "pipeline_status": status}, root)
+
+
+# --- what serving asks for -----------------------------------------------------------------------------------------
+def profile_of(profiles: DataFrame, user: str) -> DataFrame:
+    return profiles.filter(F.col("user_id") == user)
+
+
+def all_profiles(profiles: DataFrame) -> DataFrame:
+    """(user_id, display_name), by id."""
+    return profiles.select("user_id", F.coalesce("display_name", "user_id").alias("display_name")).orderBy("user_id")
+
+
+def territory_names(territories: DataFrame) -> DataFrame:
+    return territories.select("name").orderBy("name")
+
+
+def write_tags(tags: DataFrame, user: str, event: str, tag: str | None, events: list[str] | None = None) -> DataFrame:
+    """The tags with one put on an event and on the others of its group; a user's first tag makes their row."""
+    ids = [event, *(e for e in events or [] if e != event)]
+    spark = tags.sparkSession
+    new = spark.createDataFrame([(user, {})], tags.schema).join(tags.select("user_id"), "user_id", "left_anti")
+    return gold.set_tag(tags.unionByName(new), user, ids, tag)

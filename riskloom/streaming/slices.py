@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +13,17 @@ from ..functions.scalars import slice_of_path, stamp
 from ..operators import relevance, silver, validate
 from ..operators.gold import run_mode
 from ..schemas import EVENT_FEED_SCHEMA, MENTION_FEED_SCHEMA
+from ..sources import feeds
 from ..sources.sinks import append_silver
+from ..storage import State
 
 
 def read_stream(spark: SparkSession, path: str, kind: str, files_per_batch: int = 50) -> DataFrame:
-    """Feed files as they appear, with their slice; oldest first, several slices a batch."""
+    """Feed files as they appear, with their slice; oldest files first, several slices a batch (by_slice puts these in order).
+
+    The file source takes a file as soon as it has its name, so writers must rename whole files into the folder, as
+    sinks.write_slice does; for others see take_slices.
+    """
     schema = EVENT_FEED_SCHEMA if kind == "events" else MENTION_FEED_SCHEMA
     df = spark.readStream.schema(schema).option("sep", "\t").option("header", False).option("maxFilesPerTrigger", files_per_batch).option("latestFirst", False).csv(path)
     return df.na.fill("").withColumn("slice", slice_of_path(F.input_file_name()))
@@ -40,6 +47,65 @@ def write_batches(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, i
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
+def by_slice(handle: Callable[[DataFrame, str], None], progress: State | None = None, dead: Callable[[str, Exception], None] | None = None, tries: int = 3) -> Callable[[DataFrame, int], None]:
+    """A batch handler that takes the slices of a micro-batch one by one, oldest first, whatever order their files came in.
+
+    A slice that fails `tries` times goes to dead(slice, error) and the later ones go on.  progress keeps the greatest slice
+    done: a late slice is done like any other and never moves it back.  Slices in a batch are bounded by its files.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        for (name,) in batch.select("slice").distinct().orderBy("slice").collect():
+            for turn in range(tries):
+                try:
+                    handle(batch.filter(F.col("slice") == name), name)
+                    break
+                except Exception as e:  # noqa: BLE001  the last one goes to the dead letters
+                    if turn == tries - 1:
+                        if dead is None:
+                            raise
+                        dead(name, e)
+            else:
+                continue
+            if progress is not None:
+                state = progress.load({"watermark": ""})
+                if name > state["watermark"]:
+                    progress.save({**state, "watermark": name})
+
+    return run
+
+
+def take_slices(spark: SparkSession, source: str, state: State, handle: Callable[[str, str | None, str | None], None], dead: Callable[[str, list[str], str], None], now: str, tries: int = 3, seconds: int = 3) -> list[str]:
+    """Hand over the ready slices of a folder, oldest first: handle(slice, events path, mentions path); returns those done.
+
+    For feeds whose writers do not rename: only files of `seconds` of age are taken, in pairs or alone.  Failed attempts and
+    the watermark are kept in `state`, so a restart goes on where it stopped; after `tries` failures dead(slice, paths,
+    reason) is called, and the slices behind go on.  One file listing a call; handle() removes or moves what it has taken.
+    """
+    kept, done = state.load({"watermark": "", "attempts": {}}), []
+    for r in feeds.ready_slices(feeds.list_files(spark, source), now, seconds).orderBy("slice").toLocalIterator():
+        try:
+            handle(r.slice, r.events, r.mentions)
+            kept["attempts"].pop(r.slice, None)
+            kept["watermark"] = max(kept["watermark"], r.slice)
+            done.append(r.slice)
+        except Exception as e:  # noqa: BLE001  counted, then dead-lettered
+            kept["attempts"][r.slice] = kept["attempts"].get(r.slice, 0) + 1
+            if kept["attempts"][r.slice] >= tries:
+                dead(r.slice, [p for p in (r.events, r.mentions) if p], f"{tries} failed attempts: {e}")
+                kept["attempts"].pop(r.slice)
+        state.save(kept)
+    return done
+
+
+def sweep_orphans(spark: SparkSession, source: str, now: str, dead: Callable[[str, list[str], str], None], seconds: int = 3600) -> list[str]:
+    """Set aside files that nothing has taken for `seconds`; returns their paths."""
+    waiting = feeds.orphans(feeds.list_files(spark, source), now, seconds).orderBy("slice", "path").collect()
+    for r in waiting:
+        dead(r.slice, [r.path], f"unconsumed for over {seconds} s")
+    return [r.path for r in waiting]
+
+
 def events_to_silver(spark: SparkSession, source: str, silver_path: str, checkpoint: str, **options) -> StreamingQuery:
     """Relevant events appended to silver; late slices too: the latest version of a key counts when silver is read."""
 
@@ -66,17 +132,42 @@ def slice_counts(events: DataFrame, stamp_col: str = "DATEADDED", late: str = "1
     return df.withWatermark("t", late).groupBy(F.window("t", "15 minutes")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def recompute_on_change(watermarks: DataFrame, checkpoint: str, run: Callable[[str, str | None], None], **options) -> StreamingQuery:
-    """run(mode, since) whenever the newest stamp of a stream of silver rows moves, forward or backward."""
-    state: dict = {"last": None, "runs": 0}
+#: Seconds without a new watermark after which silver counts as stalled.
+IDLE = 45 * 60
+
+
+def watermark_step(state: State, now_stamp: str | None, seconds: float, run: Callable[[str, str | None], None], stale: Callable[[int], None] | None = None, idle: float = IDLE) -> str | None:
+    """One look at silver's watermark: run(mode, since) if it moved, forward or backward; the mode, "stale", or None.
+
+    seconds: the time of the look.  The state survives the driver: after a restart an unmoved watermark runs nothing.  After
+    `idle` seconds without a move, stale(seconds) is called once.  A run that fails leaves the state as it was, to be tried again.
+    """
+    kept = state.load({"last": None, "runs": 0, "moved": seconds, "stale": False})
+    if now_stamp and now_stamp != kept["last"]:
+        mode = run_mode(now_stamp, kept["last"], kept["runs"])
+        run(mode, kept["last"] if mode == "incremental" else None)
+        state.save({"last": now_stamp, "runs": kept["runs"] + 1, "moved": seconds, "stale": False})
+        return mode
+    waited = seconds - kept["moved"]
+    if waited > idle and not kept["stale"]:
+        if stale is not None:
+            stale(int(waited))
+        state.save({**kept, "stale": True})
+        return "stale"
+    if kept["last"] is None:
+        state.save(kept)  # the clock runs from the first look
+    return None
+
+
+def recompute_on_change(watermarks: DataFrame, checkpoint: str, run: Callable[[str, str | None], None], stale: Callable[[int], None] | None = None, **options) -> StreamingQuery:
+    """run(mode, since) whenever the newest stamp of a stream of silver rows moves; its state lies beside the checkpoint.
+
+    A stream only sees new rows, so its newest stamp moves backward when silver was built again with an earlier end.
+    """
+    state = State(watermarks.sparkSession, f"{checkpoint.rstrip('/')}-state")
 
     def handle(batch: DataFrame, number: int) -> None:
-        now = batch.agg(F.max("DATEADDED").cast("string")).first()[0]
-        if now is None or now == state["last"]:
-            return
-        mode = run_mode(now, state["last"], state["runs"])
-        run(mode, state["last"] if mode == "incremental" else None)
-        state["last"], state["runs"] = now, state["runs"] + 1
+        watermark_step(state, batch.agg(F.max("DATEADDED").cast("string")).first()[0], time.time(), run, stale)
 
     return write_batches(watermarks, checkpoint, handle, **options)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 BRONZE_EVENTS = """
-select *, '' as AvgTone, '' as Actor1Geo_CountryCode, '' as Actor2Geo_CountryCode from (
+select * from (
 with base as (
  select event_id, ts, user_id, event_type, cast(substr(props,7,length(props)-7) as int) as k,
    cast(year(ts) as bigint)*10000 + month(ts)*100 + day(ts) as d8,
@@ -26,6 +26,9 @@ select cast(p.event_id as string) as GLOBALEVENTID, cast(p.d8 as string) as Day,
   case p.event_type when 'click' then '1411' when 'error' then '182' when 'purchase' then '1621' when 'signup' then '042' else '1721' end as EventCode,
   case p.event_type when 'click' then '14' when 'error' then '18' when 'purchase' then '16' when 'signup' then '04' else '17' end as EventRootCode,
   cast(p.k % 21 - 10 as string) || '.' || cast(p.event_id % 10 as string) as GoldsteinScale,
+  case when p.event_id % 31 = 0 then '' else cast(p.event_id % 19 - 12 as string) || '.37' end as AvgTone,
+  case when p.event_id % 3 = 0 then 'F' || lpad(cast((p.event_id*5 + 1) % 25 as string),2,'0') else '' end as Actor1Geo_CountryCode,
+  case when p.event_id % 5 = 0 then 'F' || lpad(cast((p.event_id*3 + 2) % 25 as string),2,'0') else '' end as Actor2Geo_CountryCode,
   cast(1 + p.k + p.rev as string) as NumArticles,
   case when p.event_id % 23 = 0 then '' else 'City ' || cast(p.event_id % 50 as string) || ', ' || n1.n_name end as ActionGeo_FullName,
   'F' || lpad(cast(case when p.rev = 1 and p.event_id % 50 = 0 then n2.n_nationkey else n1.n_nationkey end as string),2,'0') as ActionGeo_CountryCode,

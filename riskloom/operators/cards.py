@@ -89,6 +89,22 @@ def heat_map(cards: DataFrame) -> DataFrame:
     return grouped.agg(first("latitude").alias("latitude"), first("longitude").alias("longitude"), F.sum(F.greatest("n_articles", F.lit(1))).alias("event_count")).drop("_a", "_o")
 
 
+def date_value(c: Column) -> Column:
+    """Time of a text date for ordering: ISO, or yyyyMMdd in its first eight letters; what is neither is the lowest."""
+    text = F.trim(F.coalesce(c.cast("string"), F.lit("")))
+    iso = text.try_cast("timestamp")
+    compact = F.try_to_timestamp(F.substring(text, 1, 8), F.lit("yyyyMMdd"))
+    return F.coalesce(F.when(~text.rlike("^[0-9]+$"), iso), F.when(text.rlike("^[0-9]{8}"), compact), F.lit("0001-01-01 00:00:00").cast("timestamp"))
+
+
+def whole_value(c: Column) -> Column:
+    return F.coalesce(F.trim(c.cast("string")).try_cast("bigint"), F.lit(-1).cast("bigint"))
+
+
+def float_value(c: Column) -> Column:
+    return F.coalesce(F.trim(c.cast("string")).try_cast("double"), F.lit(0.0))
+
+
 def group_same_headlines(cards: DataFrame) -> DataFrame:
     """Cards of a user with one set of headlines become one: the leader's, with all ids (greatest first) and their number."""
     shown = cards.withColumn("_set", F.array_sort(F.array_distinct(F.filter(F.col("articles.headline"), lambda h: h != ""))))

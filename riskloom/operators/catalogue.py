@@ -12,9 +12,9 @@ from .silver import latest
 
 
 def with_labels(df: DataFrame, labels: DataFrame, code: str = "cameo_code") -> DataFrame:
-    """cameo_label by code, "Unknown" without one.  The label table is a small dimension with one row a code."""
+    """cameo_label by code, "Unknown" without one.  One row a code; Spark broadcasts the table while its size allows."""
     dim = labels.groupBy(F.trim("lookup_code").alias(code)).agg(F.min(F.trim("lookup_label")).alias("cameo_label"))
-    return df.join(F.broadcast(dim), code, "left").withColumn("cameo_label", F.coalesce("cameo_label", F.lit("Unknown")))
+    return df.join(dim, code, "left").withColumn("cameo_label", F.coalesce("cameo_label", F.lit("Unknown")))
 
 
 def no_labels(spark) -> DataFrame:

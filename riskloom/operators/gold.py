@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import STORE_ARTICLE_COLUMNS
+
 PAIR = ["doc_id", "global_event_id"]
 PROTECTING = ("requires_action", "monitor")
 
@@ -55,10 +59,13 @@ def mark_error(old: DataFrame) -> DataFrame:
 
 
 def fingerprint(links: DataFrame, user_col: str = "user_id") -> DataFrame:
-    """(user_id, fingerprint): count and an order-independent digest of a user's pairs."""
-    text = F.concat(F.lower(F.hex("doc_id")), F.lit("|"), F.col("global_event_id"))
-    joined = F.array_join(F.array_sort(F.collect_list(text)), "")
-    return links.groupBy(user_col).agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), F.md5(joined)).alias("fingerprint"))
+    """(user_id, fingerprint): count and an order-independent digest of a user's pairs.
+
+    The digest is the sum of 60 bits of each pair's MD5, so that no user's pairs are gathered and sums are partial first.
+    """
+    pair = F.md5(F.concat(F.lower(F.hex("doc_id")), F.lit("|"), F.col("global_event_id")).cast("binary"))
+    part = F.conv(F.substring(pair, 1, 15), 16, 10).cast("decimal(38,0)")
+    return links.groupBy(user_col).agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), F.sum(part).cast("decimal(38,0)").cast("string")).alias("fingerprint"))
 
 
 def fingerprint_of(links: DataFrame, user: str) -> DataFrame:
@@ -71,10 +78,25 @@ def rebuild_pending(saved: str, current: DataFrame, seconds_since: int, limit: i
 
 
 def add_missing_columns(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Old rows under the new schema; a table with another key is dropped, since gold can be rebuilt."""
+    """Old rows under the new schema; nothing of a table with another key, which migrated() builds again."""
     return old.unionByName(new.limit(0), allowMissingColumns=True) if set(PAIR) <= set(old.columns) else new.limit(0)
 
 
+def migrated(old: DataFrame, new: DataFrame, rebuild: Callable[[], DataFrame]) -> DataFrame:
+    """Old rows under the new schema, or all rows built again if the old table has the key of an earlier layout: gold is derived."""
+    return add_missing_columns(old, new) if set(PAIR) <= set(old.columns) else rebuild().select(*new.columns)
+
+
+def article_rows(catalogue: DataFrame, as_of: str) -> DataFrame:
+    """The articles as the serving store has them, with their age on `as_of`."""
+    named = catalogue.withColumns({"document_identifier": F.col("url"), "mention_identifier": F.col("headline"), "age_days": F.datediff(F.lit(as_of).cast("date"), "event_date")})
+    return named.select(*STORE_ARTICLE_COLUMNS)
+
+
+def link_rows(links: DataFrame) -> DataFrame:
+    return links.select("user_id", *PAIR)
+
+
 def run_mode(watermark: str | None, last: str | None, run: int, every: int = 12, incremental: bool = True) -> str:
     """full without a baseline, without progress, on every twelfth run, or when switched off; else incremental."""
     full = not incremental or last is None or watermark is None or watermark <= last or run % every == 0

@@ -11,13 +11,14 @@ from ..functions.text import has_all, keyword_tokens, keyword_tokens_literal, st
 
 ACTOR_CODES = ("Actor1CountryCode", "Actor2CountryCode")
 GRAM = 3
+#: Users up to which one expression holds a branch for each.
+FEW_USERS = 100
 PLACE_CODES = ("country_code", "Actor1Geo_CountryCode", "Actor2Geo_CountryCode")
 
 
 def user_codes(profiles: DataFrame, territories: DataFrame) -> DataFrame:
     """(user_id, cameo, fips): code sets of each user's known territories; empty for a user without any."""
-    # territories are a fixed dimension of some hundred names
-    named = profiles.select("user_id", F.explode_outer("territories").alias("name")).join(F.broadcast(territories), "name", "left")
+    named = profiles.select("user_id", F.explode_outer("territories").alias("name")).join(territories, "name", "left")
     gather = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(c, F.array().cast("array<string>"))))))
     return named.groupBy("user_id").agg(gather("cameo").alias("cameo"), gather("fips").alias("fips"))
 
@@ -51,8 +52,10 @@ def keyword_predicate(keywords: list[str]) -> Column:
 def matched_users(catalogue: DataFrame, profiles: DataFrame, territories: DataFrame) -> DataFrame:
     """The catalogue's matched rows with `users`, the sorted ids of the users they match: one pass for all users.
 
-    Each user is a branch of one expression, so profiles must be few; beyond that use match_relational.
+    Each user is a branch of one expression, so more than FEW_USERS profiles are refused: match_relational takes any number.
     """
+    if profiles.select("user_id").distinct().limit(FEW_USERS + 1).count() > FEW_USERS:
+        raise ValueError(f"more than {FEW_USERS} users are matched by match_relational")
     codes = {r.user_id: r for r in user_codes(profiles, territories).collect()}
     words: dict[str, list[str]] = {}
     for r in user_keywords(profiles).collect():
@@ -67,10 +70,33 @@ def match_by_filter(catalogue: DataFrame, profiles: DataFrame, territories: Data
     return matched_users(catalogue, profiles, territories).select(F.explode("users").alias("user_id"), "doc_id", "global_event_id")
 
 
+def _url_hits(catalogue: DataFrame, words: DataFrame) -> DataFrame:
+    """(user_id, url): URLs that hold a spelling of a user's keyword, by an equi-join on one run of letters and a substring test.
+
+    A spelling of GRAM letters or more is looked for by whichever of its runs the fewest URLs have, so that runs like "com"
+    make no pairs unless the whole spelling is that short; a spelling without any run that URLs have is in none of them.
+    """
+    variants = words.select("user_id", F.explode(url_variants(F.col("keyword"))).alias("variant")).distinct().filter("variant <> ''")
+
+    def runs(text: str, n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substring(text, i, F.lit(n)))
+
+    urls = catalogue.select("url").distinct().withColumn("low", F.lower("url")).filter(F.length("low") >= GRAM)
+    grams = urls.select("url", "low", F.explode(F.array_distinct(F.concat(*(runs("low", n) for n in range(1, GRAM + 1))))).alias("gram"))
+    often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    spelled = variants.select("variant").distinct()
+    parts = spelled.select("variant", F.explode(F.when(F.length("variant") <= GRAM, F.array("variant")).otherwise(F.array_distinct(runs("variant", GRAM)))).alias("gram"))
+    rarest = parts.join(often, "gram").groupBy("variant").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    hits = grams.join(rarest, "gram").filter(F.contains("low", F.col("variant"))).select("variant", "url")
+    return hits.join(variants, "variant").select("user_id", "url").distinct()
+
+
 def match_relational(catalogue: DataFrame, profiles: DataFrame, territories: DataFrame) -> DataFrame:
     """The same as equi-joins on codes and tokens: the plan does not grow with users and keywords.
 
-    Keywords are looked for in distinct URLs only (of GRAM letters or more, as all URLs are); users without territories (or keywords) take part through the other half.
+    Keywords are looked for in distinct URLs only (of GRAM letters or more, as all URLs are); users without territories (or
+    keywords) take part through the other half.  The catalogue is read several times: pass a stored one.  Users without any
+    constraint match all rows, so that their part of the result is a product by definition.
     """
     pair = ["doc_id", "global_event_id"]
     codes = user_codes(profiles, territories)
@@ -87,16 +113,7 @@ def match_relational(catalogue: DataFrame, profiles: DataFrame, territories: Dat
     need = stems.select("user_id", "keyword", F.size("stems").alias("n"), F.explode("stems").alias("token"))
     have = catalogue.select(*pair, F.explode("row_tokens").alias("token"))
     text = have.join(need, "token").groupBy("user_id", "keyword", "n", *pair).agg(F.count(F.lit(1)).alias("found")).filter("found = n").select("user_id", *pair)
-    # a spelling can only be in URLs that have its first letters: an equi-join on up to GRAM letters, then the substring test
-    variants = words.select("user_id", F.explode(url_variants(F.col("keyword"))).alias("variant")).distinct().withColumn("gram", F.substring("variant", 1, GRAM))
-
-    def runs(n: int) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.length("low") - (n - 1)), lambda i: F.substring("low", i, F.lit(n)))
-
-    grams = [runs(n) for n in range(1, GRAM + 1)]
-    urls = catalogue.select("url").distinct().withColumn("low", F.lower("url")).filter(F.length("low") >= GRAM)
-    urls = urls.select("url", "low", F.explode(F.array_distinct(F.concat(*grams))).alias("gram"))
-    url_hits = urls.join(variants, "gram").filter(F.contains("low", F.col("variant"))).select("user_id", "url").distinct()
+    url_hits = _url_hits(catalogue, words)
     by_url = catalogue.select("url", *pair).join(url_hits, "url").select("user_id", *pair)
     by_word = text.unionByName(by_url).distinct()
 

@@ -16,7 +16,7 @@ def problems(profiles: DataFrame, territories: DataFrame, least: int = 20) -> Da
     t = profiles.select("user_id", F.explode("territories").alias("name"))
     few = profiles.filter(F.size(F.coalesce("territories", F.array().cast("array<string>"))) < least).select("user_id", F.lit("few territories").alias("problem"))
     twice = t.groupBy("user_id", "name").count().filter("count > 1").select("user_id", F.concat(F.lit("repeated territory "), "name").alias("problem"))
-    unknown = t.distinct().join(F.broadcast(territories.select("name")), "name", "left_anti").select("user_id", F.concat(F.lit("unknown territory "), "name").alias("problem"))
+    unknown = t.distinct().join(territories.select("name"), "name", "left_anti").select("user_id", F.concat(F.lit("unknown territory "), "name").alias("problem"))
     answers = profiles.select("user_id", F.explode("keywords").alias("question", "words"))
     short = answers.filter(F.size("words") < least).select("user_id", F.concat(F.lit("few answers to "), "question").alias("problem"))
     return few.unionByName(twice).unionByName(unknown).unionByName(short)

@@ -40,15 +40,21 @@ def keyword_match(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
     unset = F.col("kw").isNull()
     pick = lambda field, without, stale: F.when(unset, without).otherwise(F.coalesce(F.col("_hit")[field], F.lit(stale)))
     out = df.withColumn("_hit", hit)
-    return out.select(*pairs.columns, pick("k", "(no keywords set)", "(no current keyword matches)").alias("keyword_matched"), pick("t", "", "").alias("keyword_tokens"), pick("f", "(unfiltered)", "(stale gold row)").alias("keyword_match_field"))
+    return out.select(*pairs.columns, pick("k", NO_KEYWORDS, NO_MATCH).alias("keyword_matched"), pick("t", "", "").alias("keyword_tokens"), pick("f", UNFILTERED, STALE).alias("keyword_match_field"))
 
 
-def trace(links: DataFrame, articles: DataFrame, events: DataFrame, mentions: DataFrame) -> DataFrame:
-    """Links with their silver rows; `silver` tells where one is gone."""
+# What the provenance columns say where a row is missing.
+GONE, PRESENT, NO_PROFILE = "(silver row gone)", "present", "(profile gone)"
+NO_KEYWORDS, NO_MATCH, UNFILTERED, STALE = "(no keywords set)", "(no current keyword matches)", "(unfiltered)", "(stale gold row)"
+
+
+def trace(links: DataFrame, articles: DataFrame, events: DataFrame, mentions: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Links with their silver rows and their users' profiles; `silver` and `display_name` tell where one is gone."""
     e = events.groupBy(F.col("GLOBALEVENTID").cast("string").alias("global_event_id")).agg(F.max("EventCode").alias("EventCode"))
     m = mentions.select(F.col("GLOBALEVENTID").cast("string").alias("global_event_id"), F.col("MentionIdentifier").alias("url"), "article_title", "article_keywords", F.lit(1).alias("_m"))
     out = links.join(articles.select("doc_id", "global_event_id", "url"), ["doc_id", "global_event_id"]).join(e, "global_event_id", "left").join(m, ["global_event_id", "url"], "left")
-    return out.withColumn("silver", F.when(F.col("EventCode").isNull() | F.col("_m").isNull(), "(silver row gone)").otherwise("present")).drop("_m")
+    out = out.join(profiles.select("user_id", "display_name", "territories", "keywords"), "user_id", "left").withColumn("display_name", F.coalesce("display_name", F.lit(NO_PROFILE)))
+    return out.withColumn("silver", F.when(F.col("EventCode").isNull() | F.col("_m").isNull(), GONE).otherwise(PRESENT)).drop("_m")
 
 
 def distribution(df: DataFrame, col: str) -> DataFrame:

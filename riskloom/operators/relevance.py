@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from ..functions.text import safe_string
 
 # Event codes, root codes, actor types, groups and words of the relevance rules.
-EVENT_CODES = (
-    "1721 1722 1723 1724 163 1631 1632 1633 141 1411 1412 1413 143 145 191 1911 1912 180 182 1821 1822 1823 "
-    "171 172 173 175 1751 1752 193 194 195 196"
-).split()
-ROOT_CODES = "14 15 17 18 19 20".split()
-ACTOR_TYPES = "BUS GOV LAB MNC IGO".split()
-ACTOR_GROUPS = "OPEC WTO IMF WORLDBANK EU ASEAN NATO UN".split()
+EVENT_CODES = [
+    "1721", "1722", "1723", "1724", "163", "1631", "1632", "1633", "141", "1411", "1412", "1413", "143", "145", "191", "1911",
+    "1912", "180", "182", "1821", "1822", "1823", "171", "172", "173", "175", "1751", "1752", "193", "194", "195", "196",
+]
+ROOT_CODES = ["14", "15", "17", "18", "19", "20"]
+ACTOR_TYPES = ["BUS", "GOV", "LAB", "MNC", "IGO"]
+ACTOR_GROUPS = ["OPEC", "WTO", "IMF", "WORLDBANK", "EU", "ASEAN", "NATO", "UN"]
 KEYWORDS = (
     "port", "harbor", "harbour", "shipping", "freight", "cargo", "cargoescustoms", "tariff", "logistics", "supply chain", "supply-chain",
     "supply-side", "warehouse", "storage", "refinery", "refineriesfactory", "factories", "plant", "semiconductor", "microchip", "oil", "gas",

@@ -369,7 +369,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     scanned = K.stored(_scan(own, k, name_bits), "scan", folder)
     halves = scanned.filter("kind = 0 and n > 0").groupBy("d1").agg(F.min("d2").alias("low"), F.max("d2").alias("high")).filter("low <> high").select("d1")
     # by chance alone: about ten of 2e10 sets
-    clashes = scanned.filter("kind = 0 and n > 0").join(halves, "d1", "left_semi").select("d1", "d2").distinct().collect()
+    shared_halves = [r.d1 for r in halves.collect()]
+    clashes = scanned.filter(F.col("d1").isin(shared_halves) & F.expr("kind = 0 and n > 0")).select("d1", "d2").distinct().collect() if shared_halves else []
     name = Names([(r.d1, r.d2) for r in clashes], name_bits)
     sizes = scanned.filter("kind = 0").select("id", name.column().alias("digest"), "n")
     names, classes = spark.sparkContext.broadcast(name), spark.sparkContext.broadcast(_order(scanned.filter("kind = 1")))

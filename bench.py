@@ -16,21 +16,23 @@ HEADLINE = ("f05_relevant", "a03_latest_events", "a03_latest_mentions", "a06_cat
 
 def main() -> None:
     spark = local_session(CPUS)
-    from riskloom import fixtures, queries
+    from riskloom import fixtures, queries, storage
     from riskloom.plans import pipeline
 
+    folder = storage.working_folder(spark)
+
     def recompute_full(s, d):
         """Silver on disk -> articles and links of all users, as the reference's full recompute."""
         w = queries.World(s, d)
         for kind in ("events", "mentions"):
-            w.__dict__[kind] = s.read.parquet(f"/tmp/riskloom-bench/{kind}")
+            w.__dict__[kind] = s.read.parquet(f"{folder}/{kind}")
         g = pipeline.recompute(w.events, w.mentions, w.labels, w.profiles, w.territories)
-        g.articles.drop("row_tokens").write.mode("overwrite").parquet("/tmp/riskloom-bench/articles")
+        g.articles.drop("row_tokens").write.mode("overwrite").parquet(f"{folder}/articles")
         return g.links
 
     events, mentions = pipeline.to_silver(fixtures.bronze_events(spark, SF_DIR), fixtures.bronze_mentions(spark, SF_DIR))
-    events.write.mode("overwrite").parquet("/tmp/riskloom-bench/events")
-    mentions.write.mode("overwrite").parquet("/tmp/riskloom-bench/mentions")
+    events.write.mode("overwrite").parquet(f"{folder}/events")
+    mentions.write.mode("overwrite").parquet(f"{folder}/mentions")
     todo = {n: queries.QUERIES[n] for n in HEADLINE} | {"recompute_full": recompute_full}
     try:
         from riskloom.llm import registry
@@ -48,7 +50,7 @@ def main() -> None:
             spark.catalog.clearCache()
         seconds[name] = round(statistics.median(times), 3)
     head = {n: s for n, s in seconds.items() if n in HEADLINE or n == "recompute_full"}
-    rows = {k: spark.read.parquet(f"/tmp/riskloom-bench/{k}").count() for k in ("events", "mentions")}
+    rows = {k: spark.read.parquet(f"{folder}/{k}").count() for k in ("events", "mentions")}
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(head.values()), 3), "unit": "sec", "queries": seconds, "sf": SF_DIR.rsplit("sf", 1)[-1], "silver_rows": rows, "users": len(fixtures.PROFILES), "cpus": CPUS}))
 
 

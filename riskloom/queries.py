@@ -32,25 +32,46 @@ def query(name: str, oracle: str | None, *parts: str):
     return add
 
 
+_built: dict[tuple, DataFrame] = {}
+
+
 class World:
-    """The fixture's tables, each built once a query."""
+    """The fixture's tables.  Silver, catalogue and gold are written at their first use in an application, as a store has them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
 
+    def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.dir, name)
+        if key not in _built:
+            _built[key] = storage.stored(make(), f"{storage.working_folder(self.spark)}/{name}")
+        return _built[key]
+
+    def _gold(self) -> P.Gold:
+        def matched() -> DataFrame:
+            return matching.matched_users(self.catalogue, self.profiles, self.territories)
+
+        rows = self._once("matched", matched)
+        return P.Gold(rows.drop("users"), rows.select(F.explode("users").alias("user_id"), "doc_id", "global_event_id"), "OK")
+
+    def fresh_silver(self) -> tuple[DataFrame, DataFrame]:
+        return P.to_silver(self.bronze_events, self.bronze_mentions)
+
+    def fresh_catalogue(self) -> DataFrame:
+        return catalogue.build(self.events, self.mentions, self.labels)
+
     def __getattr__(self, name: str):
         make = {
             "bronze_events": lambda: X.bronze_events(self.spark, self.dir),
             "bronze_mentions": lambda: X.bronze_mentions(self.spark, self.dir),
-            "silver": lambda: P.to_silver(self.bronze_events, self.bronze_mentions),
-            "events": lambda: self.silver[0],
-            "mentions": lambda: self.silver[1],
+            "events": lambda: self._once("events", lambda: self.fresh_silver()[0]),
+            "mentions": lambda: self._once("mentions", lambda: self.fresh_silver()[1]),
             "labels": lambda: X.labels(self.spark),
             "territories": lambda: X.territories(self.spark, self.dir),
             "profiles": lambda: X.profiles(self.spark),
             "tags": lambda: X.tags(self.spark),
-            "catalogue": lambda: catalogue.build(self.events, self.mentions, self.labels),
-            "gold": lambda: P.recompute(self.events, self.mentions, self.labels, self.profiles, self.territories),
+            "catalogue": lambda: self._once("catalogue", self.fresh_catalogue),
+            "gold": self._gold,
             "recent": lambda: C.user_articles(self.gold.links, self.gold.articles, X.AS_OF),
             "cards": lambda: P.user_cards(self.gold, self.tags, X.AS_OF),
             "documents": lambda: self.spark.read.parquet(f"{self.dir}/documents.parquet"),
@@ -350,7 +371,7 @@ def _(s, d):
 @query("j10_match_relational", "select user_id, doc_id, global_event_id from links", "links")
 def _(s, d):
     w = World(s, d)
-    return hexed(matching.match_relational(storage.stored(w.catalogue, f"{storage.working_folder(s)}/catalogue"), w.profiles, w.territories))
+    return hexed(matching.match_relational(w.catalogue, w.profiles, w.territories))
 
 
 @query("j11_user_codes", """select user_id, coalesce(string_agg(cameo[1], ',' order by cameo[1]), '') as cameo, coalesce(string_agg(fips[1], ',' order by fips[1]), '') as fips
@@ -393,12 +414,12 @@ def _(s, d):
 
 @query("a03_latest_events", "select GLOBALEVENTID, ActionGeo_CountryCode, DATEADDED, NumArticles from ev", "ev")
 def _(s, d):
-    return World(s, d).events.select("GLOBALEVENTID", "ActionGeo_CountryCode", "DATEADDED", "NumArticles")
+    return World(s, d).fresh_silver()[0].select("GLOBALEVENTID", "ActionGeo_CountryCode", "DATEADDED", "NumArticles")
 
 
 @query("a03_latest_mentions", "select GLOBALEVENTID, MentionIdentifier, enriched, article_title, MentionTimeDate from mn", "mn")
 def _(s, d):
-    return World(s, d).mentions.select("GLOBALEVENTID", "MentionIdentifier", "enriched", "article_title", "MentionTimeDate")
+    return World(s, d).fresh_silver()[1].select("GLOBALEVENTID", "MentionIdentifier", "enriched", "article_title", "MentionTimeDate")
 
 
 EXPIRED = f"""select GLOBALEVENTID from mn group by 1 having max(MentionTimeDate) <> '' and max(MentionTimeDate) < '{X.CUTOFF}' union
@@ -437,7 +458,7 @@ def _(s, d):
 @query("a06_catalogue", f"""select doc_id, global_event_id, url, headline, country, country_code, latitude, longitude, cameo_code, cameo_label, actor, '' as risk_category, goldstein, cast(event_date as varchar) as event_date,
  {T_SQL.format('date_added')}, confidence, in_raw_text, mention_doc_tone, {T_SQL.format('mention_time')} from cat""", "cat")
 def _(s, d):
-    out = hexed(World(s, d).catalogue)
+    out = hexed(World(s, d).fresh_catalogue())
     return out.select("doc_id", "global_event_id", "url", "headline", "country", "country_code", "latitude", "longitude", "cameo_code", "cameo_label", "actor", "risk_category", "goldstein", c("event_date").cast("string").alias("event_date"), text_time("date_added"), "confidence", "in_raw_text", "mention_doc_tone", text_time("mention_time"))
 
 

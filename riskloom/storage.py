@@ -75,9 +75,9 @@ def put_new(spark: SparkSession, path: str, text: str = "") -> bool:
     try:
         out = fs.create(hadoop, False)
     except Exception as e:  # noqa: BLE001  whatever the JVM calls it
-        if fs.exists(hadoop):
+        if "AlreadyExists" in str(e) or fs.exists(hadoop):
             return False
-        raise e
+        raise
     out.write(bytearray(text.encode()))
     out.close()
     return True
@@ -85,9 +85,12 @@ def put_new(spark: SparkSession, path: str, text: str = "") -> bool:
 
 def read_text(spark: SparkSession, path: str) -> str | None:
     hadoop, fs = _at(spark, path)
-    if not fs.exists(hadoop):
-        return None
-    stream = fs.open(hadoop)
+    try:
+        stream = fs.open(hadoop)
+    except Exception as e:  # noqa: BLE001  whatever the JVM calls it
+        if "NotFound" in str(e) or not fs.exists(hadoop):
+            return None
+        raise
     try:
         return bytes(stream.readAllBytes()).decode()
     finally:

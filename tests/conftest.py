@@ -13,4 +13,4 @@ os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "
 def spark():
     from riskloom.session import local_session
 
-    return local_session(4, 4)
+    return local_session(int(os.environ.get("TEST_CPUS", "4")), 4)

@@ -33,7 +33,7 @@ ANCHOR_WORDS = 5
 #: Windows that a span has at most: the bits of its mask.
 SPAN_WINDOWS = 31
 #: Occurrences of an anchor from which its windows go one by one.
-HOT = 512
+HOT = 64
 HOT_BITS = 22
 #: Largest bitmap of repeated anchors, as a power of two of bits (64 MB).
 MOST_BITS = 29

@@ -33,6 +33,8 @@ SKETCH_BITS = 22
 SKETCH_BLOCK = 1 << 14
 #: Sets in one prefix tree, about, and shingles in one unit, about.
 TREE_SETS, UNIT_SHINGLES = 128, 1 << 20
+#: Times that, in the units of what is left: each outsider is copied once for so many sets of its star, and they for so many outsiders.
+REST = 8
 #: Prefix shingles that similar sets must share: one, and one more for each STEP shingles, up to MOST_SHARED.
 MOST_SHARED, STEP = 8, 24
 #: Sets that a task remembers, so as to give each once.
@@ -279,7 +281,8 @@ def _keyed(docs: DataFrame, owners: DataFrame, k: int, classes, names) -> DataFr
                 if node:
                     yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), K.binaries(keys)], ["b", "keys"])
 
-    return docs.join(owners, "id").select("text", "digest").mapInArrow(make, "b long, keys binary")
+    # one plan at every size: a small table of owners would otherwise be broadcast, a large one not
+    return docs.join(owners.hint("merge"), "id").select("text", "digest").mapInArrow(make, "b long, keys binary")
 
 
 def _unit_sets(table) -> dict:
@@ -315,7 +318,7 @@ def _join_units(stars: DataFrame, sets: DataFrame, num: int, den: int) -> DataFr
 
     centres = stars.filter("chunks > 1").select("a", "chunks").distinct().select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
     units = stars.filter("chunks = 1 or a <> b").select("a", "b", F.pmod(F.xxhash64("b"), "chunks").cast("int").alias("chunk")).unionByName(centres)
-    return units.join(sets, "b").select("a", "chunk", "b", "keys").groupBy("a", "chunk").applyInArrow(search, "a long, b long")
+    return units.join(sets.hint("merge"), "b").select("a", "chunk", "b", "keys").groupBy("a", "chunk").applyInArrow(search, "a long, b long")
 
 
 def _join_rest(stars: DataFrame, parts: DataFrame, sets: DataFrame, num: int, den: int, folder: str) -> DataFrame:
@@ -324,8 +327,8 @@ def _join_rest(stars: DataFrame, parts: DataFrame, sets: DataFrame, num: int, de
     large = K.stored(large, "large", folder)
     sizes = large.groupBy("a", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("shingles"))
     star = sizes.groupBy("a").agg(F.max_by("component", F.struct("n", "component")).alias("main"), (F.sum("n") - F.max("n")).alias("rest"), (F.sum("shingles") - F.max_by("shingles", F.struct("n", "component"))).alias("shingles")).filter("rest > 0")
-    star = K.stored(star.select("a", "main", _units(F.col("rest"), F.col("shingles"), 2 * TREE_SETS).alias("blocks")), "star", folder)
-    large = large.join(star, "a").withColumn("outside", F.col("component") != F.col("main"))
+    star = K.stored(star.select("a", "main", _units(F.col("rest"), F.col("shingles"), REST * TREE_SETS).alias("blocks")), "star", folder)
+    large = large.join(star, "a").withColumn("chunks", F.ceil(F.col("chunks") / REST).cast("int")).withColumn("outside", F.col("component") != F.col("main"))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     place = lambda n: F.pmod(F.xxhash64("b", F.lit(1)), n).cast("int")
     trees = large.filter("outside").select("a", "b", "component", F.lit(True).alias("tree"), place("blocks").alias("block"), spread("chunks").alias("chunk"))
@@ -348,7 +351,7 @@ def _join_rest(stars: DataFrame, parts: DataFrame, sets: DataFrame, num: int, de
                         found.append((x, held[m]))
         return _links(found)
 
-    units = trees.unionByName(probes).join(sets, "b")
+    units = trees.unionByName(probes).join(sets.hint("merge"), "b")
     return units.select("a", "block", "chunk", "b", "component", "tree", "keys").groupBy("a", "block", "chunk").applyInArrow(search, "a long, b long")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import urllib.error
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -180,10 +181,16 @@ def _(s, d):
 JDBC = "jdbc:derby:memory:riskloom;create=true"
 
 
+def own_table(s, name: str) -> str:
+    """A table name of its own in the JVM's memory store, whose log file is not wanted."""
+    s._jvm.System.setProperty("derby.stream.error.file", "/dev/null")
+    return f"{name}_{uuid.uuid4().hex[:12]}"
+
+
 @query("s10_jdbc_ranges", "select GLOBALEVENTID, ActionGeo_CountryCode, DATEADDED from ev where DATEADDED > 20240110000000", "ev")
 def _(s, d):
     """Written to a store by JDBC, then read in key ranges with a filter that runs in the store, beside a read of an empty table."""
-    table = f"ev_{abs(hash(d)) % 10**6}"
+    table = own_table(s, "ev")
     rows = World(s, d).events.select("GLOBALEVENTID", "ActionGeo_CountryCode", "DATEADDED")
     sinks.write_jdbc(rows, JDBC, table, "overwrite")
     where = "DATEADDED > 20240110000000"
@@ -194,7 +201,7 @@ def _(s, d):
 @query("k05_write_jdbc", "select user_id, doc_id, global_event_id from links", "links")
 def _(s, d):
     """Written, overwritten without dropping the table, and appended to."""
-    table, rows = f"links_{abs(hash(d)) % 10**6}", hexed(World(s, d).gold.links)
+    table, rows = own_table(s, "links"), hexed(World(s, d).gold.links)
     sinks.write_jdbc(rows, JDBC, table, "overwrite")
     few = c("user_id") < "u3"
     sinks.write_jdbc(rows.filter(few), JDBC, table, "overwrite", truncate=True)
@@ -413,10 +420,11 @@ def _(s, d):
 @query("c28_bucketed_join", "select count(*) as n, 0 as exchanges from mn join ev using (GLOBALEVENTID)", "mn", "ev")
 def _(s, d):
     """Tables bucketed alike join without an exchange of either."""
-    w, tag = World(s, d), f"{abs(hash(d)) % 10**6}"
-    for df, name in ((w.events, f"bucketed_events_{tag}"), (w.mentions, f"bucketed_mentions_{tag}")):
-        sinks.write_bucketed(df.select("GLOBALEVENTID", *(["MentionIdentifier"] if "mentions" in name else ["DATEADDED"])), name, 4)
-    joined = s.table(f"bucketed_mentions_{tag}").hint("merge").join(s.table(f"bucketed_events_{tag}"), "GLOBALEVENTID")
+    w, folder = World(s, d), storage.working_folder(s)
+    tag = folder.rsplit("-", 1)[1]
+    sinks.write_bucketed(w.events.select("GLOBALEVENTID", "DATEADDED"), f"events_{tag}", 4, path=f"{folder}/events")
+    sinks.write_bucketed(w.mentions.select("GLOBALEVENTID", "MentionIdentifier"), f"mentions_{tag}", 4, path=f"{folder}/mentions")
+    joined = s.table(f"mentions_{tag}").hint("merge").join(s.table(f"events_{tag}"), "GLOBALEVENTID")
     plan = joined._jdf.queryExecution().sparkPlan().toString() + joined._jdf.queryExecution().executedPlan().toString()
     return joined.agg(F.count(F.lit(1)).alias("n")).withColumn("exchanges", F.lit(plan.count("Exchange hashpartitioning")))
 

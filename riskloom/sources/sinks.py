@@ -48,9 +48,10 @@ def compact(spark: SparkSession, path: str, to: str, kind: str) -> None:
     _by_month(kept).write.mode("overwrite").partitionBy("month").parquet(to)
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "GLOBALEVENTID") -> None:
-    """Events and mentions bucketed alike join on the key without a shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
+def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "GLOBALEVENTID", path: str | None = None) -> None:
+    """Events and mentions bucketed alike join on the key without a shuffle; with `path` the table's files lie there."""
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def export_snapshot(df: DataFrame, path: str) -> None:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions.text import has_all, keyword_tokens, keyword_tokens_literal, stem, stem_literal, url_variants, url_variants_literal
 
 ACTOR_CODES = ("Actor1CountryCode", "Actor2CountryCode")
@@ -104,7 +105,9 @@ def match_relational(catalogue: DataFrame, profiles: DataFrame, territories: Dat
     free_geo = codes.filter((F.size("cameo") == 0) & (F.size("fips") == 0)).select("user_id")
     tagged = [F.concat(F.lit("C:"), F.col(c)) for c in ACTOR_CODES] + [F.concat(F.lit("F:"), F.col(c)) for c in PLACE_CODES]
     places = catalogue.select(*pair, F.explode(F.array_distinct(F.array_compact(F.array(*tagged)))).alias("code"))
-    geo = places.join(code_rows, "code").select("user_id", *pair).distinct()
+    folder = storage.working_folder(catalogue.sparkSession)
+    # each half is read twice below: written once, so that its plan runs once
+    geo = storage.stored(places.join(code_rows, "code").select("user_id", *pair).distinct(), f"{folder}/geo")
 
     words = user_keywords(profiles)
     users = profiles.select("user_id").distinct()
@@ -113,9 +116,9 @@ def match_relational(catalogue: DataFrame, profiles: DataFrame, territories: Dat
     need = stems.select("user_id", "keyword", F.size("stems").alias("n"), F.explode("stems").alias("token"))
     have = catalogue.select(*pair, F.explode("row_tokens").alias("token"))
     text = have.join(need, "token").groupBy("user_id", "keyword", "n", *pair).agg(F.count(F.lit(1)).alias("found")).filter("found = n").select("user_id", *pair)
-    url_hits = _url_hits(catalogue, words)
+    url_hits = storage.stored(_url_hits(catalogue, words), f"{folder}/urls")
     by_url = catalogue.select("url", *pair).join(url_hits, "url").select("user_id", *pair)
-    by_word = text.unionByName(by_url).distinct()
+    by_word = storage.stored(text.unionByName(by_url).distinct(), f"{folder}/words")
 
     every = catalogue.select(*pair)
     both = geo.join(by_word, ["user_id", *pair])

@@ -15,8 +15,9 @@ def _large(edges: DataFrame, folder: str, tag: str) -> DataFrame:
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
 
 
-def _small(edges: DataFrame, folder: str, tag: str) -> DataFrame:
-    least = K.stored(edges.groupBy("u").agg(F.min("v").alias("m")), f"{tag}-small", folder)
+def _small(edges: DataFrame) -> DataFrame:
+    # after _large() a node's links go to least nodes of its neighbours only, so none has very many here
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -34,10 +35,8 @@ def components(links: DataFrame, folder: str, tag: str = "cc") -> DataFrame:
         if now == sign:
             break
         sign, i = now, i + 1
-        middle = K.stored(_large(edges, folder, tag), f"{tag}-middle", folder)
-        after = K.stored(_small(middle, folder, tag), f"{tag}-{i}", folder)
+        after = K.stored(_small(_large(edges, folder, tag)), f"{tag}-{i}", folder)
         K.remove(spark, f"{folder}/{tag}-{i - 1}")
         edges = after
-    for part in ("large", "middle", "small"):
-        K.remove(spark, f"{folder}/{tag}-{part}")
+    K.remove(spark, f"{folder}/{tag}-large")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

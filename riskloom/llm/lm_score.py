@@ -14,8 +14,9 @@ then class within the group), so that a token costs about the square root of the
 3. A document's score is the sum over all its tokens of log P(class | both sides) + log P(word | class).  The latter comes
    from the words of all other documents: (n - t) / (N - T + 1) in a bucket of N tokens, T of them in the document, for a
    word found n times, t of them in the document; 1 / (N - T + 1) is left for words that no other document has, which are
-   spelled out, each byte and the end with 1 / 257.  Logarithms are rounded to whole multiples of 1 / GRID before they are
-   added, so that sums do not depend on order, place or partitioning.
+   spelled out, each byte and the end with 1 / 257.  The network scores with weights and hidden values rounded to whole
+   multiples, so few that every sum of a matrix product is exact in single precision, and logarithms are rounded to whole
+   multiples of 1 / GRID before they are added: scores do not depend on order, place or partitioning.
 Counts of at most about KNOWN frequent words are broadcast; those of all others stay in a table that the documents' words are
 joined to.
 """
@@ -39,15 +40,17 @@ from .tokens import cores
 CLASSES = 128
 #: Words whose counts are broadcast, at most (the frequent classes' words at least).
 KNOWN = 1 << 16
-SIDE, EMBED, HIDDEN = 2, 16, 32
+SIDE, EMBED, HIDDEN = 2, 8, 20
 STEPS = (*range(-SIDE, 0), *range(1, SIDE + 1))
 ROUNDS = 2
-BATCH, RATE = 2048, 0.01
+BATCH, RATE = 4096, 0.02
 #: Tokens of a training group, about; groups at most; and tokens that are shuffled within a group, or scored, together.
 GROUP_TOKENS, MOST_GROUPS, CHUNK = 500_000, 4096, 1 << 16
 FLUSH_WORDS = 1_000_000
-#: Groups in which tasks' parameters are summed first.
-SALTS = 64
+#: Groups whose parameters are summed at a time.
+FAN = 16
+#: Parts of one in which the scoring network's first layer, hidden values, weights and output biases are counted.
+FIRST, STATE, WEIGHT = 2.0**12, 2.0**8, 2.0**7
 GRID = 2.0**24
 SPELL = math.log(257)
 
@@ -132,10 +135,9 @@ def _kind(vocab: dict) -> str:
     return "<u2" if len(vocab["bias"]) < 1 << 16 else "<u4"
 
 
-def contexts(own: np.ndarray, doc: np.ndarray, lo: int, hi: int, beyond: int) -> np.ndarray:
-    """The classes around tokens lo..hi-1; `beyond` outside their documents."""
-    out = np.full((hi - lo, len(STEPS)), beyond, np.int64)
-    at = np.arange(lo, hi)
+def contexts(own: np.ndarray, doc: np.ndarray, at: np.ndarray, beyond: int) -> np.ndarray:
+    """The classes around the tokens `at`; `beyond` outside their documents."""
+    out = np.full((len(at), len(STEPS)), beyond, np.int64)
     for j, step in enumerate(STEPS):
         to = np.clip(at + step, 0, len(own) - 1)
         ok = (to == at + step) & (doc[to] == doc[at])
@@ -249,58 +251,72 @@ def train(p: list[np.ndarray], own: np.ndarray, around: np.ndarray, state: list,
     """One pass of Adam over the given masked tokens; returns the steps so far."""
     members = p[5].shape[2]
     for lo in range(0, len(own), BATCH):
-        y, c = own[lo : lo + BATCH], around[lo : lo + BATCH]
+        by_class = np.argsort(own[lo : lo + BATCH], kind="stable")  # so that a group's tokens lie together
+        y, c = own[lo : lo + BATCH][by_class], around[lo : lo + BATCH][by_class]
+        n = np.float32(len(y))
         x, h = _hidden(p, c)
         g = np.exp(_log_softmax(h @ p[3] + p[4]))
-        g[np.arange(len(y)), y // members] -= 1
-        g /= np.float32(len(y))
+        group = y // members
+        g[np.arange(len(y)), group] -= 1
+        g /= n
         gh = g @ p[3].T
         inner, within = np.zeros_like(p[5]), np.zeros_like(p[6])
-        for k, rows in _by_group(y // members):
-            some = h[rows]
+        cuts = _runs(group)
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(y)], strict=True):
+            k, some = group[a], h[a:b]
             gk = np.exp(_log_softmax(some @ p[5][k] + p[6][k]))
-            gk[np.arange(len(rows)), y[rows] % members] -= 1
-            gk /= np.float32(len(y))
+            gk[np.arange(b - a), y[a:b] - k * members] -= 1
+            gk /= n
             inner[k], within[k] = some.T @ gk, gk.sum(0)
-            gh[rows] += gk @ p[5][k].T
+            gh[a:b] += gk @ p[5][k].T
         gh *= 1 - h * h
         gx = (gh @ p[1].T).reshape(-1, EMBED)
         at = c.reshape(-1)  # gradients of embeddings: sums by class, as sorted runs
         order = np.argsort(at, kind="stable")
-        runs = np.flatnonzero(np.append(True, np.diff(at[order]) != 0))
+        runs = _runs(at[order])
         ge = np.zeros_like(p[0])
         ge[at[order][runs]] = np.add.reduceat(gx[order], runs, axis=0)
         t += 1
+        rate, first, second = np.float32(RATE / np.sqrt(t / 50 + 1) / (1 - 0.9**t)), np.float32(0.1), np.float32(0.01)
+        fade = np.float32(1 / (1 - 0.99**t))
         for q, grad, (m, v) in zip(p, (ge, x.T @ gh, gh.sum(0), h.T @ g, g.sum(0), inner, within), state, strict=True):
-            m *= 0.9
-            m += 0.1 * grad
-            v *= 0.99
-            v += 0.01 * grad * grad
-            q -= np.float32(RATE / np.sqrt(t / 50 + 1)) * (m / np.float32(1 - 0.9**t)) / (np.sqrt(v / np.float32(1 - 0.99**t)) + np.float32(1e-7))
+            m += first * (grad - m)
+            grad *= grad
+            v += second * (grad - v)
+            q -= rate * m / (np.sqrt(fade * v) + np.float32(1e-7))
     return t
 
 
 def prepared(p: list[np.ndarray]) -> list[np.ndarray]:
-    """The parameters in double precision, with each place's embeddings already through its part of the hidden layer."""
+    """The parameters as whole multiples, with each place's embeddings already through its part of the hidden layer."""
     embed, w, b, outer, group, inner, within = (a.astype(np.float64) for a in p)
-    tables = np.stack([embed @ w[j * EMBED : (j + 1) * EMBED] for j in range(len(STEPS))])
-    return [tables, b, outer, group, inner, within]
+
+    def whole(x, parts, most):
+        return np.rint(np.clip(x, -most, most) * parts).astype(np.float32)
+
+    tables = np.stack([whole(embed @ w[j * EMBED : (j + 1) * EMBED], FIRST, 256) for j in range(len(STEPS))])
+    # products are below 2**8 * 2**9, their sums below 2**23 with the biases
+    bias = STATE * WEIGHT
+    return [tables, whole(b, FIRST, 256), whole(outer, WEIGHT, 4), whole(group, bias, 60), whole(inner, WEIGHT, 4), whole(within, bias, 60)]
 
 
 def log_probabilities(ready: list[np.ndarray], own: np.ndarray, around: np.ndarray, step: int = 8192) -> np.ndarray:
-    """log P(class | classes around it) of each token; ready: see prepared()."""
+    """log P(class | classes around it) of each token, in single precision; ready: see prepared()."""
     tables, b, outer, group, inner, within = ready
-    members = inner.shape[2]
-    out = np.zeros(len(own), np.float64)
+    members, scale = inner.shape[2], np.float32(1 / (STATE * WEIGHT))
+    out = np.zeros(len(own), np.float32)
     for lo in range(0, len(own), step):
         y, c = own[lo : lo + step], around[lo : lo + step]
         h = b + tables[0][c[:, 0]]
         for j in range(1, len(STEPS)):
             h += tables[j][c[:, j]]
+        h *= np.float32(1 / FIRST)
         np.tanh(h, out=h)
-        out[lo : lo + step] = _log_softmax(h @ outer + group)[np.arange(len(y)), y // members]
+        h *= np.float32(STATE)
+        np.rint(h, out=h)
+        out[lo : lo + step] = _log_softmax((h @ outer + group) * scale)[np.arange(len(y)), y // members]
         for k, rows in _by_group(y // members):
-            out[lo + rows] += _log_softmax(h[rows] @ inner[k] + within[k])[np.arange(len(rows)), y[rows] % members]
+            out[lo + rows] += _log_softmax((h[rows] @ inner[k] + within[k]) * scale)[np.arange(len(rows)), y[rows] % members]
     return out
 
 
@@ -330,8 +346,8 @@ def _fit(encoded: DataFrame, vocab: dict, rounds: int) -> list[np.ndarray]:
 
             def end():
                 learn(1)
-                for i, a in enumerate(held["q"]):
-                    yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([held["group"] % SALTS]), pa.array([held["group"]]), pa.array([held["seen"]]), pa.array([(a.astype(np.float64) * held["seen"]).astype("<f8").tobytes()], pa.binary())], ["tensor", "salt", "place", "n", "total"])
+                whole = np.concatenate([a.astype("<f8").ravel() for a in held["q"]]) * held["seen"]
+                yield pa.RecordBatch.from_arrays([pa.array([held["group"]]), pa.array([held["seen"]]), pa.array([whole.tobytes()], pa.binary())], ["place", "n", "total"])
 
             for batch in batches:
                 group = batch.column(0).to_numpy()
@@ -348,7 +364,7 @@ def _fit(encoded: DataFrame, vocab: dict, rounds: int) -> list[np.ndarray]:
                         place = np.arange(lo, hi) - first[doc[lo:hi]]
                         draw = K.mix(digest[doc[lo:hi]] + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                         mine = np.flatnonzero(draw % np.uint64(rounds) == turn)
-                        held["parts"].append([own[lo:hi][mine], contexts(own, doc, lo, hi, beyond)[mine], draw[mine]])
+                        held["parts"].append([own[lo + mine], contexts(own, doc, lo + mine, beyond), draw[mine]])
                         held["waiting"] += len(mine)
                         learn(CHUNK)
             if held:
@@ -357,14 +373,18 @@ def _fit(encoded: DataFrame, vocab: dict, rounds: int) -> list[np.ndarray]:
         def add(key, table):
             table = table.sort_by("place")  # a fixed order: float sums depend on it
             total = sum(np.frombuffer(x, "<f8") for x in table["total"].to_pylist())
-            return pa.table({"tensor": pa.array([key[0].as_py()], pa.int64()), "place": pa.array([key[-1].as_py()], pa.int64()), "n": pa.array([pa.compute.sum(table["n"]).as_py()], pa.int64()), "total": pa.array([total.tobytes()], pa.binary())})
-
-        # summed by tensor and salt, then by tensor: MOST_GROUPS bounds both
-        trained = dealt.repartitionById(groups, "group").sortWithinPartitions("group", "digest").mapInArrow(run, "tensor long, salt long, place long, n long, total binary")
-        some = trained.groupBy("tensor", "salt").applyInArrow(add, "tensor long, place long, n long, total binary")
-        for row in some.groupBy("tensor").applyInArrow(add, "tensor long, place long, n long, total binary").collect():
-            if row.n:
-                p[row.tensor] = (np.frombuffer(row.total, "<f8") / row.n).astype(np.float32).reshape(p[row.tensor].shape)
+            return pa.table({"place": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([pa.compute.sum(table["n"]).as_py()], pa.int64()), "total": pa.array([total.tobytes()], pa.binary())})
+
+        sums = dealt.repartitionById(groups, "group").sortWithinPartitions("group", "digest").mapInArrow(run, "place long, n long, total binary")
+        left = groups
+        while left > 1:  # a tree of sums: no task holds more than FAN models
+            sums = sums.groupBy(F.floor(F.col("place") / FAN).alias("to")).applyInArrow(add, "place long, n long, total binary")
+            left = -(-left // FAN)
+        for row in sums.collect():
+            whole, at = np.frombuffer(row.total, "<f8") / row.n, 0
+            for i, a in enumerate(p):
+                p[i] = whole[at : at + a.size].astype(np.float32).reshape(a.shape)
+                at += a.size
     return p
 
 
@@ -386,7 +406,7 @@ def _score(encoded: DataFrame, vocab: dict, p: list[np.ndarray], counted: bool,
             total = batch.column(3).to_numpy().copy()
             for lo in range(0, len(own), CHUNK):
                 hi = min(lo + CHUNK, len(own))
-                np.add.at(total, doc[lo:hi], _grid(log_probabilities(ready, own[lo:hi], contexts(own, doc, lo, hi, beyond))))
+                np.add.at(total, doc[lo:hi], _grid(log_probabilities(ready, own[lo:hi], contexts(own, doc, np.arange(lo, hi), beyond)).astype(np.float64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(total)], schema.fieldNames())
 
     rows = encoded.select("id", "row", "n", "base", "classes").mapInArrow(run, schema)

@@ -37,6 +37,70 @@ def test_toxicity_odd_input(spark, odd, empty):
     assert toxicity.score(empty, toxicity.fit(df, none)).count() == 0
 
 
+def test_toxicity_null_ids_and_empty_tables(spark, empty):
+    docs = spark.createDataFrame([(None, "a b"), (None, None), (1, "a b"), (1, "a b")], "doc_id long, text string")
+    labels = spark.createDataFrame([(None, 1), (1, 0), (1, 1), (7, None)], "doc_id long, toxic int")
+    rows = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
+    assert len(rows) == 4 and len({r.expected_severity for r in rows if r.doc_id == 1}) == 1
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert toxicity.score(empty, toxicity.fit(empty, none)).count() == 0
+
+
+def test_toxicity_uses_every_word_of_a_long_sample_text(spark):
+    many = " ".join(f"f{i}" for i in range(20_000))
+    docs = spark.createDataFrame([(i, f"{many if i % 2 else 'plain'} {'zzbad' if i % 2 else 'zzgood'} w{i}") for i in range(200)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
+    model = toxicity.fit(docs, labels)
+    data = np.frombuffer(b"zzbad", np.uint8)
+    _, feature, _ = toxicity._features(data, np.array([0, 5]))
+    assert model[0][feature].min() > 0
+
+
+def plain_loss(w, cuts, rows, grade, mass, l1):
+    total = 0.0
+    for x, g, m in zip(rows, grade, mass, strict=True):
+        z = sum(w[i] for i in x)
+        above = lambda j: 1.0 if j < 0 else 0.0 if j >= len(cuts) else 1 / (1 + np.exp(cuts[j] - z))
+        total -= m * np.log(max(above(g - 1) - above(g), 1e-12))
+    return total + float((l1 * w).sum())
+
+
+def test_ordinal_fit_is_a_minimum_of_the_plain_loss():
+    r = np.random.default_rng(3)
+    grade = r.integers(0, 3, 240)
+    rows = [np.unique(np.concatenate([r.integers(6, 14, 3), r.choice(6, 2 * g, replace=False)])) for g in grade]
+    start = np.concatenate([[0], np.cumsum([len(x) for x in rows])])
+    w, cuts = toxicity.fit_ordinal(start, np.concatenate(rows), grade, 14, rounds=4000)
+    per = np.bincount(grade)
+    mass = 1 / per[grade] / 3
+    l1 = np.array([toxicity.L1_SIGMAS * np.sqrt(sum(m * m for x, m in zip(rows, mass, strict=True) if i in x)) / 2 for i in range(14)])
+    best = plain_loss(w, cuts, rows, grade, mass, l1)
+    for i in range(14):
+        for step in (0.05, -0.05):
+            other = w.copy()
+            other[i] = max(0, other[i] + step)
+            assert plain_loss(other, cuts, rows, grade, mass, l1) > best - 1e-4
+    for j in range(2):
+        for step in (0.05, -0.05):
+            other = cuts.copy()
+            other[j] += step
+            assert plain_loss(w, other, rows, grade, mass, l1) > best - 1e-4
+
+
+def test_toxicity_scores_by_brute_force(spark, sf):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    weights, cuts = toxicity.fit(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.limit(200).collect()}
+    assert weights.any()
+    for r in toxicity.score(docs, (weights, cuts)).filter(F.col("doc_id").isin(list(texts))).collect():
+        data = np.frombuffer((texts[r.doc_id] or "").encode(), np.uint8)
+        _, feature, words = toxicity._features(data, np.array([0, len(data)]))
+        z = sum(float(np.float32(weights[i])) for i in feature)
+        above = [1 / (1 + np.exp(c - z)) if words[0] else 0.0 for c in cuts]
+        assert abs(r.expected_severity - sum(above)) < 1e-6 and abs(r.p_toxic - above[0]) < 1e-6
+        assert r.grade == int(np.argmax([1 - above[0], above[0] - above[1], above[1]])) and r.is_toxic == (sum(above) >= toxicity.TOXIC_FROM)
+
+
 def test_quality_keeps_clean_and_drops_junk(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     rows = quality_rules.rate(docs, ["doc_id"]).join(labels.withColumnRenamed("quality", "label"), "doc_id").filter("not base_failed").collect()
@@ -57,7 +121,7 @@ def test_lm_gradient_lowers_loss():
     ready = lm_score.prepared(p)
     assert lm_score.log_probabilities(ready, own, around).mean() > before + 1
     total = np.exp([lm_score.log_probabilities(ready, np.full(3, k), around[:3]) for k in range(lm_score.CLASSES)]).sum(0)
-    assert np.allclose(total, 1, atol=1e-9)
+    assert np.allclose(total, 1, atol=1e-4)
 
 
 def test_lm_network_is_the_plain_network():
@@ -73,7 +137,11 @@ def test_lm_network_is_the_plain_network():
         g = h @ outer + group
         k, j = divmod(int(own[i]), members)
         x = h @ inner[k] + within[k]
-        assert abs(got[i] - (g[k] - np.log(np.exp(g).sum()) + x[j] - np.log(np.exp(x).sum()))) < 1e-9
+        assert abs(got[i] - (g[k] - np.log(np.exp(g).sum()) + x[j] - np.log(np.exp(x).sum()))) < 0.05  # rounded weights
+    many = np.tile(around, (200, 1))[3:], np.tile(own, 200)[3:]
+    for step in (8192, 1000, 77):  # not a bit depends on a token's place in a block
+        again = lm_score.log_probabilities(lm_score.prepared(p), many[1], many[0], step)
+        assert (np.concatenate([got[:3], again]).reshape(200, 50) == got).all()
 
 
 def test_lm_scores(spark, sf, odd, empty):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import tempfile
 import urllib.error
 import uuid
 import zipfile
@@ -178,35 +179,37 @@ def _(s, d):
     return s.createDataFrame(sorted(feeds.latest_urls("http://m", opener=site, sleep=site.waits.append).items()), "kind string, url string")
 
 
-JDBC = "jdbc:derby:memory:riskloom;create=true"
+_stores: list[tempfile.TemporaryDirectory] = []
 
 
-def own_table(s, name: str) -> str:
-    """A table name of its own in the JVM's memory store, whose log file is not wanted."""
-    s._jvm.System.setProperty("derby.stream.error.file", "/dev/null")
-    return f"{name}_{uuid.uuid4().hex[:12]}"
+def own_table(s, name: str) -> tuple[str, str]:
+    """The URL of a store in the driver's JVM, kept in files so that large tables fit, and a table name of its own there."""
+    s._jvm.System.setProperty("derby.stream.error.file", "/dev/null")  # no log file
+    if not _stores:
+        _stores.append(tempfile.TemporaryDirectory(prefix="riskloom-", ignore_cleanup_errors=True))
+    return f"jdbc:derby:{_stores[0].name}/store;create=true", f"{name}_{uuid.uuid4().hex[:12]}"
 
 
 @query("s10_jdbc_ranges", "select GLOBALEVENTID, ActionGeo_CountryCode, DATEADDED from ev where DATEADDED > 20240110000000", "ev")
 def _(s, d):
     """Written to a store by JDBC, then read in key ranges with a filter that runs in the store, beside a read of an empty table."""
-    table = own_table(s, "ev")
+    url, table = own_table(s, "ev")
     rows = World(s, d).events.select("GLOBALEVENTID", "ActionGeo_CountryCode", "DATEADDED")
-    sinks.write_jdbc(rows, JDBC, table, "overwrite")
+    sinks.write_jdbc(rows, url, table, "overwrite")
     where = "DATEADDED > 20240110000000"
-    nothing = feeds.read_partitioned(s, JDBC, table, "GLOBALEVENTID", where="DATEADDED < 0")
-    return feeds.read_partitioned(s, JDBC, table, "GLOBALEVENTID", where=where).unionByName(nothing)
+    nothing = feeds.read_partitioned(s, url, table, "GLOBALEVENTID", where="DATEADDED < 0")
+    return feeds.read_partitioned(s, url, table, "GLOBALEVENTID", where=where).unionByName(nothing)
 
 
 @query("k05_write_jdbc", "select user_id, doc_id, global_event_id from links", "links")
 def _(s, d):
     """Written, overwritten without dropping the table, and appended to."""
-    table, rows = own_table(s, "links"), hexed(World(s, d).gold.links)
-    sinks.write_jdbc(rows, JDBC, table, "overwrite")
+    (url, table), rows = own_table(s, "links"), hexed(World(s, d).gold.links)
+    sinks.write_jdbc(rows, url, table, "overwrite")
     few = c("user_id") < "u3"
-    sinks.write_jdbc(rows.filter(few), JDBC, table, "overwrite", truncate=True)
-    sinks.write_jdbc(rows.filter(~few), JDBC, table)
-    return s.read.jdbc(JDBC, table)
+    sinks.write_jdbc(rows.filter(few), url, table, "overwrite", truncate=True)
+    sinks.write_jdbc(rows.filter(~few), url, table)
+    return feeds.read_table(s, url, table)
 
 
 @query("s11_labels", "select lookup_code, lookup_label from labels", "labels")

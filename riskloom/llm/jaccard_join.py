@@ -12,9 +12,8 @@
 4. The links found give components.  Where a large star still has several, the sets outside its largest component are held
    against all sets of the star, in units again: no link that could change a component is lost, no pair of sets is ever a
    row, and sets already connected are not compared.
-5. In a unit the globally ordered sets form a prefix tree, which other sets traverse.  Sets with equal beginnings share
-   their partial overlap, and a subtree is left as soon as the overlap so far and what can remain are below what its
-   sizes ask for.
+5. In a unit the globally ordered sets form a prefix tree, whose nodes are met by another set all at once.  Sets with equal
+   beginnings share their partial overlap.
 Sets are kept as 64-bit keys (8 bits of frequency class, 56 of hash); equal sets are one node.  A node's name is the first
 half of its digest; the few sets whose first halves agree by chance get names of their own.
 """
@@ -204,47 +203,66 @@ def _shared(prefixes: DataFrame) -> DataFrame:
 
 
 class PrefixTree:
-    """Of globally ordered sets.  A node is a run of keys; its sets all begin with the keys from the root to it."""
+    """Of globally ordered sets.  A node is a run of keys; its sets all begin with the keys from the root to it.
+
+    Nodes are numbered so that those below a node follow it, up to its `after`.  A probe finds its keys in all nodes at once,
+    and adds each node's to the nodes below: a number of array operations that does not grow with the nodes.
+    """
 
     def __init__(self, sets: list[np.ndarray]):
         order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
         self.sets = sets
-        self.root = self._node(order, 0, 0)
-
-    def _node(self, members: list[int], depth: int, start: int) -> dict:
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        self.node = np.zeros(len(sets), np.int64)  # in which each set ends
+        self.after: list[int] = []
+        runs: list[np.ndarray] = []
+        self._add(order, 0, runs)
+        keys, many = np.concatenate(runs), [len(r) for r in runs]
+        by_key = np.argsort(keys, kind="stable")
+        self.nodes = np.repeat(np.arange(len(runs)), many)[by_key]
+        self.keys, self.number = np.unique(keys, return_inverse=True)  # and each node's keys by their numbers
+        self.first = np.append(np.searchsorted(keys[by_key], self.keys), len(keys))
+        self.begins = np.concatenate([[0], np.cumsum(many)]).astype(np.int64)
+
+    def _add(self, members: list[int], start: int, runs: list[np.ndarray]) -> None:
+        here = len(runs)
         first, last = self.sets[members[0]], self.sets[members[-1]]
         n = min(len(first), len(last))
-        differ = np.flatnonzero(first[depth:n] != last[depth:n])
-        end = depth + int(differ[0]) if len(differ) else n
-        node = {"keys": first[start:end], "end": end, "least": min(len(self.sets[m]) for m in members), "most": max(len(self.sets[m]) for m in members), "here": [], "below": []}
+        differ = np.flatnonzero(first[start:n] != last[start:n])
+        end = start + int(differ[0]) if len(differ) else n
+        runs.append(first[start:end])
+        self.after.append(0)
         rest = []
         for m in members:
-            (node["here"] if len(self.sets[m]) == end else rest).append(m)
+            if len(self.sets[m]) == end:
+                self.node[m] = here
+            else:
+                rest.append(m)
         while rest:
             key = self.sets[rest[0]][end]
             cut = next((i for i, m in enumerate(rest) if self.sets[m][end] != key), len(rest))
-            node["below"].append(self._node(rest[:cut], end, end))
+            self._add(rest[:cut], end, runs)
             rest = rest[cut:]
-        return node
+        self.after[here] = len(runs)
 
     def similar(self, probe: np.ndarray, num: int, den: int) -> list[int]:
         """Members whose Jaccard similarity with the probe is num/den or more."""
-        n, out, todo = len(probe), [], [(self.root, 0, 0)]
-        needed = lambda size: -(-num * (n + size) // (num + den))  # noqa: E731  least overlap for that similarity
-        while todo:
-            node, overlap, at = todo.pop()
-            keys = node["keys"]
-            if len(keys):
-                near = np.searchsorted(probe, keys)
-                overlap += int((probe[np.minimum(near, n - 1)] == keys).sum())
-                at = int(np.searchsorted(probe, keys[-1], "right"))
-            # sizes from `least` up: the bound is loosest at either end
-            best = max(min(n - at, size - node["end"]) - needed(size) for size in (node["least"], min(node["most"], max(node["least"], n - at + node["end"]))))
-            if overlap + best < 0:
-                continue
-            out += [m for m in node["here"] if overlap >= needed(node["end"])]
-            todo += [(child, overlap, at) for child in node["below"]]
-        return out
+        if not len(self.keys) or not len(probe):
+            return []
+        at = np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)
+        at = at[self.keys[at] == probe]
+        many = self.first[at + 1] - self.first[at]
+        if 16 * many.sum() < len(self.nodes):
+            found, _ = K.span_index(self.first[at], many)
+            hits = np.bincount(self.nodes[found], minlength=len(self.after) + 1)
+        else:  # many keys in many nodes: all keys are gone through
+            has = np.zeros(len(self.keys), bool)
+            has[at] = True
+            upto = np.append(0, np.cumsum(has[self.number]))
+            hits = np.append(np.diff(upto[self.begins]), 0)
+        # what a node has counts from it to the last node below it
+        overlap = np.cumsum(hits - np.bincount(self.after, weights=hits[:-1], minlength=len(hits)).astype(np.int64))[self.node]
+        return np.flatnonzero((num + den) * overlap >= num * (len(probe) + self.sizes)).tolist()
 
 
 class _Union(dict):

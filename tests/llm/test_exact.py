@@ -1,5 +1,7 @@
 """Operators with one right answer, against brute force: over the test tables and over odd texts."""
 
+import sys
+
 import duckdb
 import numpy as np
 import pytest
@@ -126,6 +128,26 @@ def test_prefix_tree():
             assert sorted(tree.similar(s, num, den)) == want
 
 
+def test_prefix_tree_of_a_dense_family():
+    """Array operations for a probe do not grow with the nodes it has keys in; sets of one family, just below the similarity."""
+    r = np.random.default_rng(4)
+    base = np.arange(0, 40_000, 100, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[r.random(400) > 0.08], r.integers(0, 1 << 60, 6).astype(np.uint64)])) for _ in range(200)]
+    tree = jaccard_join.PrefixTree(sets)
+    calls = []
+
+    def count(frame, event, arg):
+        if event in ("call", "c_call"):
+            calls.append(event)
+
+    sys.setprofile(count)
+    found = [tree.similar(s, 85, 100) for s in sets]
+    sys.setprofile(None)
+    want = [[i for i, t in enumerate(sets) if 100 * len(np.intersect1d(s, t)) >= 85 * len(np.union1d(s, t))] for s in sets]
+    assert [sorted(f) for f in found] == want
+    assert len(calls) < 100 * len(sets)
+
+
 def test_components(spark):
     links = [(5, 4), (4, 3), (9, 8), (3, 5), (7, 7), (12, 11), (11, 10), (10, 20)] + [(i, i + 1) for i in range(100, 140)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long"), jaccard_join.K.shared_folder(spark)).collect()}

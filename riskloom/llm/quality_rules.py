@@ -38,6 +38,16 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _windows(words: Column) -> Column:
+    """A hash for each 8-word window: of two windows of 4 words, of 2, of 1, so that no window is copied."""
+
+    def pairs(half: int):
+        return lambda a: F.transform(a, lambda x, i: F.xxhash64(x, F.get(a, i + half)))
+
+    whole = _let(_let(_let(F.transform(words, lambda w: F.xxhash64(w)), pairs(1)), pairs(2)), pairs(4))
+    return F.slice(whole, F.lit(1), F.greatest(F.size(words) - (WINDOW - 1), F.lit(0)))  # the last ones lack a half
+
+
 def _covered(hashes: Column) -> Column:
     """Words in the windows whose hash is found twice or more."""
     ordered = F.sort_array(F.transform(hashes, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
@@ -68,7 +78,7 @@ def signals(docs: DataFrame, carry: list[str], text_col: str = "text") -> DataFr
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.regexp_count("_text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         F.filter(F.split("_text", "\n"), lambda line: F.btrim(line, F.lit(WS)) != "").alias("_lines"),
-        F.when(F.size("_words") > WINDOW, F.transform(F.sequence(F.lit(1), F.size("_words") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_words", i, F.lit(WINDOW))))).otherwise(F.array().cast("array<bigint>")).alias("_windows"),
+        _windows(F.col("_words")).alias("_windows"),
         F.regexp_count("_text", F.lit(r"\p{Lu}")).alias("_upper"),
         F.regexp_count("_text", F.lit("[.!?]")).alias("_stops"),
         F.size(F.filter("_words", lambda w: F.lower(w).isin(FUNCTION_WORDS))).alias("_function"),

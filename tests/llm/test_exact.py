@@ -27,6 +27,11 @@ def test_quality_signals(spark, sf, texts, odd):
             assert 0 <= r.quality <= 1 and not (r.kept and r.base_failed) and (r.base_failed or r.kept == (r.quality >= quality_rules.KEEP_FROM))
 
 
+def test_quality_windows_are_not_copied(odd):
+    plan = quality_rules.signals(odd[1], ["doc_id"])._jdf.queryExecution().analyzed().toString()
+    assert "xxhash64(" in plan and "xxhash64(slice(" not in plan
+
+
 def test_quality_em_is_plain_em(spark, sf):
     votes = quality_rules.signals(spark.read.parquet(f"{sf}/documents.parquet"), ["doc_id"]).cache()
     model = quality_rules.fit(votes)

@@ -230,56 +230,75 @@ def initial(vocab: dict, seed: int = 5) -> list[np.ndarray]:
 
 
 def _hidden(p, around):
-    x = p[0][around].reshape(len(around), -1)
-    return x, np.tanh(x @ p[1] + p[2])
+    """Inputs, a row for each token, and hidden values, a column for each."""
+    x = p[0].take(around.reshape(-1), axis=0).reshape(len(around), -1)
+    h = p[1].T @ x.T
+    h += p[2][:, None]
+    return x, np.tanh(h, out=h)
 
 
-def _log_softmax(z):
-    z -= z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+def _softmax(z):
+    """The columns' softmax, in place of z."""
+    z -= z.max(0)
+    np.exp(z, out=z)
+    z /= z.sum(0)
+    return z
 
 
-def _by_group(group: np.ndarray):
-    """(group, its rows) of every group there is."""
-    order = np.argsort(group, kind="stable")
-    runs = np.flatnonzero(np.append(True, np.diff(group[order]) != 0)) if len(group) else np.zeros(0, np.int64)
-    for lo, hi in zip(runs, np.append(runs[1:], len(group)), strict=True):
-        yield int(group[order[lo]]), order[lo:hi]
+def _log_chosen(z, at):
+    """The log softmax of each column of z at its row `at`; z is used up."""
+    if z.shape[1] == 1:  # numpy sums a single column in another order
+        return _log_chosen(np.repeat(z, 2, axis=1), np.repeat(at, 2))[:1]
+    z -= z.max(0)
+    chosen = z[at, np.arange(len(at))]
+    np.exp(z, out=z)
+    chosen -= np.log(z.sum(0))
+    return chosen
+
+
+def _order(x: np.ndarray) -> np.ndarray:
+    """Stable order of numbers from 0; those of two bytes are sorted by their digits."""
+    return np.argsort(x.astype(np.uint16) if len(x) and x.max() < 1 << 16 else x, kind="stable")
 
 
 def train(p: list[np.ndarray], own: np.ndarray, around: np.ndarray, state: list, t: int) -> int:
     """One pass of Adam over the given masked tokens; returns the steps so far."""
     members = p[5].shape[2]
     for lo in range(0, len(own), BATCH):
-        by_class = np.argsort(own[lo : lo + BATCH], kind="stable")  # so that a group's tokens lie together
+        by_class = _order(own[lo : lo + BATCH])  # so that a group's tokens lie together
         y, c = own[lo : lo + BATCH][by_class], around[lo : lo + BATCH][by_class]
-        n = np.float32(len(y))
+        n = np.float32(1 / len(y))
         x, h = _hidden(p, c)
-        g = np.exp(_log_softmax(h @ p[3] + p[4]))
+        z = p[3].T @ h
+        z += p[4][:, None]
+        g = _softmax(z)
         group = y // members
-        g[np.arange(len(y)), group] -= 1
-        g /= n
-        gh = g @ p[3].T
+        g[group, np.arange(len(y))] -= 1
+        g *= n
+        gh = p[3] @ g
         inner, within = np.zeros_like(p[5]), np.zeros_like(p[6])
         cuts = _runs(group)
         for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(y)], strict=True):
-            k, some = group[a], h[a:b]
-            gk = np.exp(_log_softmax(some @ p[5][k] + p[6][k]))
-            gk[np.arange(b - a), y[a:b] - k * members] -= 1
-            gk /= n
-            inner[k], within[k] = some.T @ gk, gk.sum(0)
-            gh[a:b] += gk @ p[5][k].T
+            k, some = group[a], h[:, a:b]
+            z = p[5][k].T @ some
+            z += p[6][k][:, None]
+            gk = _softmax(z)
+            gk[y[a:b] - k * members, np.arange(b - a)] -= 1
+            gk *= n
+            np.matmul(some, gk.T, out=inner[k])
+            gk.sum(1, out=within[k])
+            gh[:, a:b] += p[5][k] @ gk
         gh *= 1 - h * h
-        gx = (gh @ p[1].T).reshape(-1, EMBED)
+        gx = (gh.T @ p[1].T).reshape(-1, EMBED)
         at = c.reshape(-1)  # gradients of embeddings: sums by class, as sorted runs
-        order = np.argsort(at, kind="stable")
+        order = _order(at)
         runs = _runs(at[order])
         ge = np.zeros_like(p[0])
-        ge[at[order][runs]] = np.add.reduceat(gx[order], runs, axis=0)
+        ge[at[order][runs]] = np.add.reduceat(gx.take(order, axis=0), runs, axis=0)
         t += 1
         rate, first, second = np.float32(RATE / np.sqrt(t / 50 + 1) / (1 - 0.9**t)), np.float32(0.1), np.float32(0.01)
         fade = np.float32(1 / (1 - 0.99**t))
-        for q, grad, (m, v) in zip(p, (ge, x.T @ gh, gh.sum(0), h.T @ g, g.sum(0), inner, within), state, strict=True):
+        for q, grad, (m, v) in zip(p, (ge, x.T @ gh.T, gh.sum(1), h @ g.T, g.sum(1), inner, within), state, strict=True):
             m += first * (grad - m)
             grad *= grad
             v += second * (grad - v)
@@ -297,26 +316,38 @@ def prepared(p: list[np.ndarray]) -> list[np.ndarray]:
     tables = np.stack([whole(embed @ w[j * EMBED : (j + 1) * EMBED], FIRST, 256) for j in range(len(STEPS))])
     # products are below 2**8 * 2**9, their sums below 2**23 with the biases
     bias = STATE * WEIGHT
-    return [tables, whole(b, FIRST, 256), whole(outer, WEIGHT, 4), whole(group, bias, 60), whole(inner, WEIGHT, 4), whole(within, bias, 60)]
+    scale = np.float32(1 / bias)  # a power of two: all stay exact
+    return [tables, whole(b, FIRST, 256), whole(outer, WEIGHT, 4).T * scale, whole(group, bias, 60)[:, None] * scale, whole(inner, WEIGHT, 4).transpose(0, 2, 1) * scale, whole(within, bias, 60)[:, :, None] * scale]
 
 
 def log_probabilities(ready: list[np.ndarray], own: np.ndarray, around: np.ndarray, step: int = 8192) -> np.ndarray:
     """log P(class | classes around it) of each token, in single precision; ready: see prepared()."""
     tables, b, outer, group, inner, within = ready
-    members, scale = inner.shape[2], np.float32(1 / (STATE * WEIGHT))
+    members = inner.shape[1]
     out = np.zeros(len(own), np.float32)
     for lo in range(0, len(own), step):
-        y, c = own[lo : lo + step], around[lo : lo + step]
-        h = b + tables[0][c[:, 0]]
+        by_class = _order(own[lo : lo + step])  # so that a group's tokens lie together
+        y, c = own[lo : lo + step][by_class], around[lo : lo + step][by_class]
+        h = tables[0].take(c[:, 0], axis=0)
+        h += b
         for j in range(1, len(STEPS)):
-            h += tables[j][c[:, j]]
+            h += tables[j].take(c[:, j], axis=0)
         h *= np.float32(1 / FIRST)
         np.tanh(h, out=h)
         h *= np.float32(STATE)
         np.rint(h, out=h)
-        out[lo : lo + step] = _log_softmax((h @ outer + group) * scale)[np.arange(len(y)), y // members]
-        for k, rows in _by_group(y // members):
-            out[lo + rows] += _log_softmax((h[rows] @ inner[k] + within[k]) * scale)[np.arange(len(rows)), y[rows] % members]
+        h = np.ascontiguousarray(h.T)
+        of = y // members
+        z = outer @ h
+        z += group
+        total = _log_chosen(z, of)
+        cuts = _runs(of)
+        for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(y)], strict=True):
+            k = of[s]
+            z = inner[k] @ h[:, s:e]
+            z += within[k]
+            total[s:e] += _log_chosen(z, y[s:e] - k * members)
+        out[lo + by_class] = total
     return out
 
 

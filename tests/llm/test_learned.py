@@ -144,6 +144,29 @@ def test_lm_network_is_the_plain_network():
         assert (np.concatenate([got[:3], again]).reshape(200, 50) == got).all()
 
 
+def test_lm_takes_one_exponential_for_each_output(monkeypatch):
+    class Counting:
+        taken = 0
+
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def exp(self, z, **more):
+            self.taken += z.size
+            return np.exp(z, **more)
+
+    r = np.random.default_rng(4)
+    p = lm_score.initial({"bias": np.zeros(lm_score.CLASSES, np.float32)})
+    around, own = r.integers(0, lm_score.CLASSES + 1, (3000, 4)), r.integers(0, lm_score.CLASSES, 3000)
+    outputs = 3000 * (p[5].shape[0] + p[5].shape[2])
+    ready = lm_score.prepared(p)
+    monkeypatch.setattr(lm_score, "np", counted := Counting())
+    lm_score.log_probabilities(ready, own, around)
+    assert counted.taken == outputs
+    lm_score.train(p, own, around, [(np.zeros_like(a), np.zeros_like(a)) for a in p], 0)
+    assert counted.taken == 2 * outputs
+
+
 def test_lm_scores(spark, sf, odd, empty):
     docs, df = odd
     rows = {r.doc_id: r for r in lm_score.score_documents(df).collect()}
